@@ -6,7 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from barline.functions.casts import strict_bigint, strict_date, strict_double
+from barline.functions.casts import strict_date, strict_double
+from barline.functions.once import with_computed
 
 # Field names of the payload contract.
 FIELDS = {
@@ -32,20 +33,25 @@ def validate_rows(rows: DataFrame) -> DataFrame:
     passes a comparison only where IEEE comparison would) and never leaves a
     valid row, since a valid row cannot hold one.
     """
-    fields = F.from_json("row_json", "map<string,string>")
-    df = rows.withColumns({"trade_date": strict_date(F.col("source_date_key")), "_f": fields})
-    get = lambda name: F.try_element_at("_f", F.lit(name))
-    df = df.withColumns(
+    # The five casts share one lambda: written out, the generated method grows
+    # past what the JVM compiles.
+    names = F.array(*[F.lit(f) for f in FIELDS.values()])
+    df = rows.withColumn("_f", F.from_json("row_json", "map<string,string>"))
+    df = with_computed(
+        df,
         {
-            **{c: strict_double(get(FIELDS[c])) for c in ("open", "high", "low", "close")},
-            "volume": strict_bigint(get(FIELDS["volume"])),
-        }
+            "trade_date": strict_date(F.col("source_date_key")),
+            "_is_object": F.col("_f").isNotNull(),
+            "_has_all": F.forall(names, lambda n: F.map_contains_key("_f", n)),
+            "_v": F.transform(names, lambda n: strict_double(F.try_element_at("_f", n))),
+        },
     )
+    values = {c: F.col("_v")[i] for i, c in enumerate(FIELDS)}
+    # Volume is truncated; NaN, infinite and too large ones have no bigint.
+    values["volume"] = values["volume"].try_cast("bigint")
+    df = df.withColumns(values)
     o, h, lo, c, v = (F.col(x) for x in ("open", "high", "low", "close", "volume"))
     nan = F.isnan
-    has_all = F.size(
-        F.array_intersect(F.map_keys("_f"), F.array(*[F.lit(f) for f in FIELDS.values()]))
-    ) == len(FIELDS)
     # The smallest price is taken left to right: a NaN open hides the others,
     # a NaN elsewhere is skipped.
     infinity = F.lit(float("inf"))
@@ -53,8 +59,8 @@ def validate_rows(rows: DataFrame) -> DataFrame:
     inside = lambda x: ~nan(x) & ~nan(h) & ~nan(lo) & (lo <= x) & (x <= h)
     reason = F.coalesce(
         F.when(F.col("trade_date").isNull(), "invalid_date"),
-        F.when(F.col("_f").isNull(), "invalid_row_type"),
-        F.when(~has_all, "missing_fields"),
+        F.when(~F.col("_is_object"), "invalid_row_type"),
+        F.when(~F.col("_has_all"), "missing_fields"),
         F.when(o.isNull() | h.isNull() | lo.isNull() | c.isNull() | v.isNull(), "type_conversion_error"),
         F.when(~nan(o) & (smallest <= 0), "non_positive_price"),
         F.when(v < 0, "negative_volume"),
@@ -63,7 +69,9 @@ def validate_rows(rows: DataFrame) -> DataFrame:
         F.when(~inside(c), "close_outside_high_low"),
     )
     df = df.withColumn("reject_reason", reason)
-    return df.withColumn("is_valid", F.col("reject_reason").isNull()).drop("_f")
+    return df.withColumn("is_valid", F.col("reject_reason").isNull()).drop(
+        "_f", "_v", "_is_object", "_has_all"
+    )
 
 
 def price_records(validated: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from barline.functions.once import with_computed
+
 # Names the payload contract uses.
 SERIES = "Time Series (Daily)"
 ERROR = "Error Message"
@@ -44,18 +46,20 @@ def parse(docs: DataFrame) -> DataFrame:
         F.when(F.coalesce(F.size("_series"), F.lit(0)) <= 0, "missing_series"),
         F.lit("ok"),
     )
-    df = df.withColumn("payload_status", status)
-    return df.withColumn("series", F.when(F.col("payload_status") == "ok", F.col("_series"))).drop(
-        "_json", "_top", "_series"
-    )
+    known = with_computed(df, {"payload_status": status, "_parsed": F.col("_series")})
+    return known.withColumn(
+        "series", F.when(F.col("payload_status") == "ok", F.col("_parsed"))
+    ).drop("_json", "_top", "_series", "_parsed")
 
 
 def explode_series(parsed: DataFrame) -> DataFrame:
     """One row per date key of the ``ok`` documents; of equal keys the last stays."""
-    rows = parsed.filter("payload_status = 'ok'").select(
+    # The outer form keeps Spark from testing the size of the array beforehand,
+    # which would compute it twice.
+    rows = parsed.select(
         *[c for c in parsed.columns if c not in ("doc", "series", "payload_status")],
-        F.explode(_last_entries(F.col("series"))).alias("e"),
-    )
+        F.explode_outer(_last_entries(F.col("series"))).alias("e"),
+    ).filter("e IS NOT NULL")
     return rows.select(
         *[c for c in rows.columns if c != "e"],
         F.col("e.key").alias("source_date_key"),
