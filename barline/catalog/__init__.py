@@ -4,7 +4,7 @@ from importlib import import_module
 
 from barline.catalog.registry import ORACLE, QUERIES
 
-_AREAS = ["features", "sources", "dashboard", "merges", "forecasts"]
+_AREAS = ["features", "sources", "dashboard", "merges", "forecasts", "streams"]
 
 
 def _load() -> None:

@@ -30,20 +30,7 @@ PRICES = _struct(
     "ticker string, date timestamp, open double, high double, low double, close double,"
     " volume bigint, created_at timestamp, updated_at timestamp"
 )
-RAW__TYPES = {
-    "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(),
-    "int": T.IntegerType(), "boolean": T.BooleanType(), "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-}
-
-
-def _struct(columns: str) -> T.StructType:
-    """``"name type, ..."`` to a StructType, without needing a session."""
-    pairs = [c.split() for c in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
-PRICES = _struct(
+RAW_PRICES = _struct(
     "ticker string, source_date_key string, trade_date date, open double, high double,"
     " low double, close double, volume bigint, raw_payload string, is_valid boolean,"
     " reject_reason string, source string, dag_id string, task_id string, run_id string,"
