@@ -10,6 +10,7 @@ from barline.operators import quality
 from barline.operators.indicators import indicators, min_history, stock_features
 from barline.schemas import FEATURE_COLUMNS
 from barline.sources import fixtures
+from barline.sources.tables import stage
 
 # Digits at which both engines agree: prices have two decimals, so means over
 # 20 and 50 rows are exact at four; EMA noise stays below three.
@@ -37,6 +38,15 @@ def weekday_features(spark, folder):
     return stock_features(fixtures.weekday_bars(spark, folder), max_rows=fixtures.max_bars(spark, folder))
 
 
+def stored_features(spark, folder):
+    """The feature table as a job finds it: written once, read by every consumer."""
+    return stage(all_features(spark, folder), "features")
+
+
+def stored_weekday_features(spark, folder):
+    return stage(weekday_features(spark, folder), "features")
+
+
 def _feature_query(name: str, columns: list[str]) -> None:
     @query(name, sql(f"SELECT ticker, date, {rounded_columns(columns)} FROM indicators", "indicators"))
     def run(spark, folder):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barline.catalog.features import all_features, weekday_features
+from barline.catalog.features import (
+    all_features, stored_features, stored_weekday_features, weekday_features,
+)
 from barline.catalog.registry import query, rounded
 from barline.catalog.views import rnd, sql
 from barline.functions.calendar import version_string
@@ -53,7 +55,7 @@ def _max_rows(spark, folder):
     ),
 )
 def minmax_scale(spark, folder):
-    scaled = sequences.minmax_scale(all_features(spark, folder))
+    scaled = sequences.minmax_scale(stored_features(spark, folder))
     return rounded(scaled, {c: 6 for c in FEATURE_COLUMNS})
 
 
@@ -78,7 +80,7 @@ def scaler_table(spark, folder):
 )
 def inverse_scale(spark, folder):
     """Scaling the close and back gives the close."""
-    features = all_features(spark, folder).select("ticker", "date", "close")
+    features = stored_features(spark, folder).select("ticker", "date", "close")
     scaler = sequences.fit_scaler(features, ["close"])
     scaled = sequences.minmax_scale(features, scaler, ["close"])
     back = scaled.join(scaler, "ticker")
@@ -123,14 +125,14 @@ def _ends_sql(first: int, last: int, extra: str = "") -> str:
     sql(_ends_sql(30, 1, f", {rnd('close', 6)} AS y"), "features", extra=_SCALED),
 )
 def training_sequences(spark, folder):
-    scaled = sequences.minmax_scale(all_features(spark, folder))
+    scaled = sequences.minmax_scale(stored_features(spark, folder))
     windows = sequences.training_sequences(scaled, max_rows=_max_rows(spark, folder))
     return rounded(_window_ends(windows), {**_END_DIGITS, "y": 6})
 
 
 @query("prediction_windows", sql(_ends_sql(29, 0), "features", extra=_SCALED))
 def prediction_windows(spark, folder):
-    scaled = sequences.minmax_scale(all_features(spark, folder))
+    scaled = sequences.minmax_scale(stored_features(spark, folder))
     windows = sequences.prediction_windows(scaled, max_rows=_max_rows(spark, folder))
     return rounded(_window_ends(windows), _END_DIGITS)
 
@@ -159,13 +161,13 @@ def _fit(spark, folder, features):
     ),
 )
 def fit_linear_forecaster(spark, folder):
-    _, _, model = _fit(spark, folder, all_features(spark, folder))
+    _, _, model = _fit(spark, folder, stored_features(spark, folder))
     return rounded(model, {"slope": 6, "intercept": 6})
 
 
 @query("fit_ridge_forecaster")
 def fit_ridge_forecaster(spark, folder):
-    model = forecast.fit_ridge(all_features(spark, folder), max_rows=_max_rows(spark, folder))
+    model = forecast.fit_ridge(stored_features(spark, folder), max_rows=_max_rows(spark, folder))
     return model.select(
         "ticker", "train_rows", F.transform("weights", lambda w: F.round(w, 6)).alias("weights")
     )
@@ -188,7 +190,7 @@ _METRICS = {
     ),
 )
 def holdout_metrics(spark, folder):
-    _, pairs, model = _fit(spark, folder, all_features(spark, folder))
+    _, pairs, model = _fit(spark, folder, stored_features(spark, folder))
     return rounded(forecast.holdout_metrics(pairs, model), {"mae": 4, "rmse": 4})
 
 
@@ -203,7 +205,7 @@ def holdout_metrics(spark, folder):
     ),
 )
 def model_table(spark, folder):
-    features = all_features(spark, folder)
+    features = stored_features(spark, folder)
     _, pairs, model = _fit(spark, folder, features)
     table = forecast.model_table(
         features, model, forecast.holdout_metrics(pairs, model),
@@ -233,7 +235,7 @@ def _price(close: str) -> str:
     ),
 )
 def predict_next_day(spark, folder):
-    features = all_features(spark, folder)
+    features = stored_features(spark, folder)
     scaler, _, model = _fit(spark, folder, features)
     predicted = forecast.predict_next_day(features, scaler, _versioned(model))
     return rounded(predicted, {"predicted_close": 4})
@@ -312,7 +314,7 @@ _RECORDS = {
 
 
 def _records(spark, folder):
-    features = weekday_features(spark, folder)
+    features = stored_weekday_features(spark, folder)
     scaler, _, model = _fit(spark, folder, features)
     return maintenance.prediction_records(_gaps(spark, folder, features), scaler, _versioned(model))
 

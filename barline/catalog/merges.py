@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barline import schemas
-from barline.catalog.features import all_features, digits, rounded_columns
+from barline.catalog.features import all_features, digits, rounded_columns, stored_features
 from barline.catalog.registry import query, rounded
 from barline.catalog.views import sql
 from barline.operators.merge import coalesce_merge, dedup_source, duplicate_keys, replace_by_key, upsert
@@ -111,7 +111,7 @@ _FEATURES = list(schemas.FEATURE_COLUMNS)
     ),
 )
 def upsert_features(spark, folder):
-    features = all_features(spark, folder)
+    features = stored_features(spark, folder)
     stale = {c: F.lit(-1.0) for c in _FEATURES}
     target = features.filter(_day() % 3 == 0).withColumns(stale)
     source = rounded(features.filter(_day() % 2 == 0), digits(_FEATURES))

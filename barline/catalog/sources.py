@@ -13,6 +13,7 @@ from barline.plans import ingest
 from barline.plans.maintenance import missing_business_days
 from barline.sources import fixtures
 from barline.sources.payload import explode_series, gate, parse
+from barline.sources.tables import stage
 from barline.sources.tickers import inline_tickers, one_ticker, only_tickers, ticker_list
 
 AS_OF = fixtures.AS_OF
@@ -275,10 +276,10 @@ _DAILY = {
 }
 
 
-def _daily(spark, folder):
+def _daily(spark, folder, **options):
     return ingest.daily(
         fixtures.payload_docs(spark, folder), fixtures.stored_prices(spark, folder), as_of(),
-        min_completeness=MIN_COMPLETENESS,
+        min_completeness=MIN_COMPLETENESS, **options,
     )
 
 
@@ -362,7 +363,7 @@ _dq(
     ),
 )
 def daily_accepted_prices(spark, folder):
-    return _daily(spark, folder).prices
+    return _daily(spark, folder, stage=lambda rows: stage(rows, "validated")).prices
 
 
 # ---- full load -----------------------------------------------------------

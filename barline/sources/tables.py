@@ -1,8 +1,8 @@
-"""Stored tables: Parquet, partitioned by month, merged by key.
+"""Stored tables: Parquet, partitioned by period (month unless said otherwise), merged by key.
 
-Parquet has no MERGE. A merge reads only the months the source touches, writes
+Parquet has no MERGE. A merge reads only the periods the source touches, writes
 the merged rows to the shared scratch folder, and then replaces just those
-months. Merges are idempotent, so a run that dies is simply run again.
+periods. Merges are idempotent, so a run that dies is simply run again.
 """
 
 from __future__ import annotations
@@ -15,7 +15,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from barline.schemas import conform
 from barline.session import scratch_folder
 
-MONTH = "month"
+PERIOD = "period"
+
+
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Written to the shared scratch folder and read back: computed once, lineage cut."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -23,7 +31,8 @@ class KeyedTable:
     path: str
     schema: T.StructType
     keys: list[str]
-    month_of: str | None  # date column that names the partition; None: one partition
+    period_of: str  # date column that names the partition
+    grain: str = "yyyy-MM"  # its date format
 
     def read(self, spark: SparkSession) -> DataFrame:
         if not self._exists(spark):
@@ -35,41 +44,39 @@ class KeyedTable:
     def merge(
         self, source: DataFrame, combine: Callable[[DataFrame, DataFrame, list[str]], DataFrame]
     ) -> None:
-        """``combine(target, source, keys)`` on the touched months, then replace them.
+        """``combine(target, source, keys)`` on the touched periods, then replace them.
 
         ``source`` is read twice; pass a stored or cached frame.
         """
         spark = source.sparkSession
-        source = source.withColumn(MONTH, self._month())
-        # One value per touched calendar month.
-        months = [r[0] for r in source.select(MONTH).distinct().collect()]
-        if not months:
+        source = source.withColumn(PERIOD, self._period())
+        # One value per touched calendar period.
+        periods = [r[0] for r in source.select(PERIOD).distinct().collect()]
+        if not periods:
             return
-        target = self.read(spark).withColumn(MONTH, self._month()).filter(F.col(MONTH).isin(months))
-        merged = combine(target.drop(MONTH), source.drop(MONTH), self.keys)
+        target = self.read(spark).withColumn(PERIOD, self._period()).filter(F.col(PERIOD).isin(periods))
+        merged = combine(target.drop(PERIOD), source.drop(PERIOD), self.keys)
         staged = scratch_folder(spark, "merge")
         self._write(conform(merged, self.schema), staged)
         copy = spark.read.schema(self._stored_schema()).parquet(staged)
         (
             copy.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
+            .partitionBy(PERIOD)
             .parquet(self.path)
         )
 
     def _write(self, df: DataFrame, path: str) -> None:
-        # `rebalance` sizes the files by data: small months share a task, a
-        # large month is split over several.
-        rows = df.withColumn(MONTH, self._month()).hint("rebalance", MONTH)
-        rows.write.partitionBy(MONTH).parquet(path)
+        # `rebalance` sizes the files by data: small periods share a task, a
+        # large one is split over several.
+        rows = df.withColumn(PERIOD, self._period()).hint("rebalance", PERIOD)
+        rows.write.partitionBy(PERIOD).parquet(path)
 
-    def _month(self):
-        if self.month_of is None:
-            return F.lit("all")
-        return F.coalesce(F.date_format(self.month_of, "yyyy-MM"), F.lit("none"))
+    def _period(self):
+        return F.coalesce(F.date_format(self.period_of, self.grain), F.lit("none"))
 
     def _stored_schema(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(MONTH, T.StringType())])
+        return T.StructType([*self.schema.fields, T.StructField(PERIOD, T.StringType())])
 
     def _exists(self, spark: SparkSession) -> bool:
         path = spark._jvm.org.apache.hadoop.fs.Path(self.path)

@@ -99,8 +99,8 @@ def test_stored_table_replaces_touched_months_only(spark):
     table.merge(spark.createDataFrame(second, ddl), lambda t, s, k: upsert(t, s, k))
     got = {(r["ticker"], str(r["predicted_date"])): r["predicted_close"] for r in table.read(spark).collect()}
     assert got == {("A", "2024-01-05"): 1.0, ("A", "2024-02-05"): 3.0, ("B", "2024-02-06"): 4.0}
-    assert {f for f in table.read(spark).inputFiles() if "month=2024-01" in f} == {
-        f for f in january if "month=2024-01" in f
+    assert {f for f in table.read(spark).inputFiles() if "period=2024-01" in f} == {
+        f for f in january if "period=2024-01" in f
     }
     assert table.read(spark).schema == schemas.PREDICTIONS
 
@@ -108,7 +108,7 @@ def test_stored_table_replaces_touched_months_only(spark):
 def test_table_without_newer_columns_reads(spark):
     path = scratch_folder(spark, "test-old")
     old = spark.createDataFrame([("A", dt.date(2024, 1, 5), 1.0)], "ticker string, date date, close double")
-    old.withColumn("month", F.lit("2024-01")).write.partitionBy("month").parquet(path)
+    old.withColumn("period", F.lit("2024-01")).write.partitionBy("period").parquet(path)
     read = KeyedTable(path, schemas.FEATURES, schemas.KEYS["features"], "date").read(spark)
     assert read.columns == [f.name for f in schemas.FEATURES.fields]
     assert read.first()["close"] == 1.0 and read.first()["bb_width"] is None
