@@ -1,8 +1,9 @@
 """Stored tables: Parquet, partitioned by period (month unless said otherwise), merged by key.
 
 Parquet has no MERGE. A merge reads only the periods the source touches, writes
-the merged rows to the shared scratch folder, and then replaces just those
-periods. Merges are idempotent, so a run that dies is simply run again.
+the merged rows next to the table, and then replaces just those periods. If the
+driver dies while periods are being replaced, the complete merged copy is still
+there and the next merge (or ``recover``) applies it first. One writer at a time.
 """
 
 from __future__ import annotations
@@ -34,11 +35,14 @@ class KeyedTable:
     period_of: str  # date column that names the partition
     grain: str = "yyyy-MM"  # its date format
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        if not self._exists(spark):
+    def read(self, spark: SparkSession, periods: list[str] | None = None) -> DataFrame:
+        """The table, or only some of its periods (pruned before the scan)."""
+        if not self._exists(spark, self.path):
             return spark.createDataFrame([], self.schema)
         # A stored file may lack columns added later: they read as NULL.
         stored = spark.read.schema(self._stored_schema()).parquet(self.path)
+        if periods is not None:
+            stored = stored.filter(F.col(PERIOD).isin(periods))
         return conform(stored, self.schema)
 
     def merge(
@@ -49,28 +53,38 @@ class KeyedTable:
         ``source`` is read twice; pass a stored or cached frame.
         """
         spark = source.sparkSession
-        source = source.withColumn(PERIOD, self._period())
+        self.recover(spark)
         # One value per touched calendar period.
-        periods = [r[0] for r in source.select(PERIOD).distinct().collect()]
+        periods = [r[0] for r in source.select(self._period()).distinct().collect()]
         if not periods:
             return
-        target = self.read(spark).withColumn(PERIOD, self._period()).filter(F.col(PERIOD).isin(periods))
-        merged = combine(target.drop(PERIOD), source.drop(PERIOD), self.keys)
-        staged = scratch_folder(spark, "merge")
-        self._write(conform(merged, self.schema), staged)
-        copy = spark.read.schema(self._stored_schema()).parquet(staged)
+        merged = combine(self.read(spark, periods), source, self.keys)
+        self._write(conform(merged, self.schema), self._pending)
+        self.recover(spark)
+
+    def recover(self, spark: SparkSession) -> None:
+        """Replace the periods of a merged copy that is complete, if there is one."""
+        if not self._exists(spark, f"{self._pending}/_SUCCESS"):
+            return
+        copy = spark.read.schema(self._stored_schema()).parquet(self._pending)
         (
             copy.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PERIOD)
             .parquet(self.path)
         )
+        pending = spark._jvm.org.apache.hadoop.fs.Path(self._pending)
+        pending.getFileSystem(spark._jsc.hadoopConfiguration()).delete(pending, True)
+
+    @property
+    def _pending(self) -> str:
+        return f"{self.path.rstrip('/')}__pending"
 
     def _write(self, df: DataFrame, path: str) -> None:
         # `rebalance` sizes the files by data: small periods share a task, a
         # large one is split over several.
         rows = df.withColumn(PERIOD, self._period()).hint("rebalance", PERIOD)
-        rows.write.partitionBy(PERIOD).parquet(path)
+        rows.write.mode("overwrite").partitionBy(PERIOD).parquet(path)
 
     def _period(self):
         return F.coalesce(F.date_format(self.period_of, self.grain), F.lit("none"))
@@ -78,6 +92,6 @@ class KeyedTable:
     def _stored_schema(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(PERIOD, T.StringType())])
 
-    def _exists(self, spark: SparkSession) -> bool:
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+    def _exists(self, spark: SparkSession, name: str) -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -103,6 +103,21 @@ def test_stored_table_replaces_touched_months_only(spark):
         f for f in january if "period=2024-01" in f
     }
     assert table.read(spark).schema == schemas.PREDICTIONS
+    pruned = table.read(spark, ["2024-02"])
+    assert pruned.count() == 2
+    assert "PartitionFilters: [period" in pruned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_interrupted_replacement_is_finished_by_the_next_merge(spark):
+    table = KeyedTable(
+        scratch_folder(spark, "test-crash"), schemas.PREDICTIONS, schemas.KEYS["predictions"], "predicted_date"
+    )
+    ddl = "ticker string, predicted_date date, predicted_close double"
+    day = dt.date(2024, 1, 5)
+    merged = schemas.conform(spark.createDataFrame([("A", day, 1.0), ("B", day, 2.0)], ddl), schemas.PREDICTIONS)
+    table._write(merged, table._pending)  # complete copy, replacement not done
+    table.merge(spark.createDataFrame([("B", day, 3.0)], ddl), lambda t, s, k: upsert(t, s, k))
+    assert {r["ticker"]: r["predicted_close"] for r in table.read(spark).collect()} == {"A": 1.0, "B": 3.0}
 
 
 def test_table_without_newer_columns_reads(spark):
