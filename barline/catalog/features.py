@@ -213,6 +213,19 @@ def dq_volatility(spark, folder):
     return _checks(spark, folder, "volatility_non_negative")
 
 
+@query(
+    "dq_feature_upserts",
+    sql(
+        "SELECT ticker, " + _check_row("feature_rows_upserted", "true", "feature_rows", "NULL", "0")
+        + " FROM per_ticker WHERE feature_rows > 0 AND bad_rsi = 0 AND bad_vol = 0",
+        "indicators",
+        extra=_GAPPY_FEATURES,
+    ),
+)
+def dq_feature_upserts(spark, folder):
+    return _checks(spark, folder, "feature_rows_upserted")
+
+
 @query(
     "dq_feature_exceptions",
     sql(

@@ -23,7 +23,7 @@ class RunContext:
     run_id: str | None = None
     dag_id: str | None = None
     task_id: str | None = None
-    source: str = "alphavantage"
+    source: str = "alphavantage"  # fixed value: the stored label of the price API
 
 
 def validate_rows(rows: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from barline.functions.calendar import business_day_sequence, next_trading_day
 from barline.operators.forecast import linear_prediction
+from barline.operators.merge import fill_from
 from barline.operators.sequences import SEQUENCE_ROWS
 from barline.operators.series import SEGMENT_ROWS, own_rows, segment
 
@@ -100,11 +101,9 @@ def maintenance_metrics(records: DataFrame) -> DataFrame:
 def fill_latest_actuals(stored: DataFrame, features: DataFrame, prices: DataFrame) -> DataFrame:
     """Fill ``actual_close`` where NULL, on each ticker's latest feature date only."""
     latest = features.groupBy("ticker").agg(F.max("date").alias("predicted_date"))
-    actual = prices.select(
-        "ticker", F.to_date("date").alias("predicted_date"), F.col("close").alias("_actual")
-    ).join(latest, ["ticker", "predicted_date"], "left_semi")
-    joined = stored.join(actual, ["ticker", "predicted_date"], "left")
-    return joined.withColumn("actual_close", F.coalesce("actual_close", "_actual")).select(*stored.columns)
+    keys = ["ticker", "predicted_date"]
+    actual = prices.select("ticker", F.to_date("date").alias("predicted_date"), "close")
+    return fill_from(stored, actual.join(latest, keys, "left_semi"), keys, "actual_close", "close")
 
 
 def missing_business_days(marks: DataFrame, rows: DataFrame, date: str = "trade_date") -> DataFrame:
