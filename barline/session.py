@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,14 +28,15 @@ def build_session(app: str = "barline", master: str | None = None, **conf: str)
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder.
+    """A new folder name under the folder in ``spark.checkpoint.dir``.
 
-    Every executor must see it, so a machine-local folder is only ever used
-    when the session itself is local and nothing was configured.
+    Where that is unset, as in tests, the warehouse folder takes its place: it
+    is the other folder that every executor sees. What is written there goes
+    when the session's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="barline-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)  # only a path that exists can be marked
+    fs.deleteOnExit(path)
+    return path.toString()

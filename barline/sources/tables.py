@@ -23,7 +23,7 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Written to the shared scratch folder and read back: computed once, lineage cut."""
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
