@@ -27,6 +27,15 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete what ``stage`` wrote; nothing may read ``staged`` afterwards."""
+    spark = staged.sparkSession
+    files = staged.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @dataclass(frozen=True)
 class KeyedTable:
     path: str
