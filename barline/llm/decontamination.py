@@ -114,7 +114,7 @@ def _pairs(rows: DataFrame, items: DataFrame, words: int, percent: int, miss: fl
         items.select("nth", F.ceil(F.size("shingles") * F.lit(percent) / 100).alias("least"), F.explode("hashes").alias("hash")),
         "benchmark-probes",
     )
-    met = signed.join(probes, "hash").filter("n >= least").select("key", "nth").distinct()
+    met = join_few(signed, probes, "hash").filter("n >= least").select("key", "nth").distinct()
     candidates = stage(met, "leak-candidates")
     texts = with_computed(join_few(rows, candidates.select("key").distinct(), "key", "left_semi"), {"w": _split(F.col("text"))})
     documents = with_computed(texts.select("key", "doc_id", "w"), {"own": _shingles("w", words, _joined)}).select("key", "doc_id", "own")
