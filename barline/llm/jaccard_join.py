@@ -6,11 +6,11 @@ T. DivideSkip merges the short lists and probes the long ones.
 
 To bring only texts together that can be similar, each set's rarest shingles (its
 prefix) are compared first: similar sets share a shingle of their prefixes under
-any one order of all shingles. The order used here counts shingles without moving
-all of them: a set's window holds its shingles of smallest hash, somewhat more than
-a prefix; shingles on one window only come first, then by hash, those on several
-windows last. A set with enough such shingles on its window has no shingle in
-common there and needs no further look, unless another set's prefix names it.
+any one order of all shingles. Counting every shingle would move them all. So a
+set first shows its window, its shingles of smallest hash, somewhat more than a
+prefix; a set with a prefix of shingles that no other window has can only be similar
+to a set without, and what is left are few. Of those all shingles are counted, and
+the prefixes in order of frequency give clusters, within which the search runs.
 """
 
 from __future__ import annotations
@@ -85,9 +85,9 @@ def jaccard_join(
     sets = stage(_distinct_sets(windows), "jaccard-sets")
     rows = stage(windows.select("id", "n", "set_key", "row_key"), "jaccard-rows")
     discard(windows)
-    prefixes = _prefixes(named, sets, words, percent)
-    clusters = components(_lists(prefixes, percent))
-    links = _search(named, sets, clusters, words, percent, block)
+    members = _members(named, sets, words, percent, slack)
+    clusters = components(_lists(_prefixes(members, percent), percent))
+    links = _search(members, clusters, percent, block)
     return _classes(rows, sets, components(links))
 
 
@@ -155,26 +155,43 @@ def _whole_sets(named: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
     return texts.dropDuplicates(["node"]).mapInArrow(shingle, "node long, n long, shingles binary")
 
 
-def _prefixes(named: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
-    """``node``, ``n``, ``shingle``: the prefixes, without shingles that can be on no list of two sets."""
-    window = _unpacked(sets.select("node", "n", F.col("window").alias("shingles"))).select("node", "shingle")
-    common = stage(window.groupBy("shingle").agg(F.count("*").alias("windows")).filter("windows > 1"), "jaccard-common")
+def _members(named: DataFrame, sets: DataFrame, words: int, percent: int, slack: float) -> DataFrame:
+    """``node``, ``n`` and packed ``shingles`` of all sets that can be similar to another.
+
+    Two sets whose windows each hold a prefix of shingles of their own are not similar.
+    So of two similar sets one is poor in such shingles. All but a prefix (less one) of
+    the other's window is in the poor set too, and there among the ``wide`` smallest.
+    """
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1
-    own = F.octet_length("window") / 8 - F.col("shared")
+    held = F.octet_length("window") / 8
+    window = _unpacked(sets.select("node", "n", F.col("window").alias("shingles"))).select("node", "shingle")
+    common = stage(window.groupBy("shingle").agg(F.count("*").alias("windows")).filter("windows > 1").drop("windows"), "jaccard-common")
     shared = window.join(common, "shingle").groupBy("node").agg(F.count("*").alias("shared"))
-    poor = stage(sets.join(shared, "node").filter(own < prefix).select("row_key", "set_key", "node", "n"), "jaccard-poor")
-    # Sets with too few shingles of their own on their windows: their whole sets in the order of all shingles.
-    order = Window.partitionBy("node").orderBy(F.coalesce("windows", F.lit(0)), "shingle")
-    ranked = _unpacked(_whole_sets(named, poor, words)).join(common, "shingle", "left")
-    named_by_poor = stage(
-        ranked.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= prefix).drop("rank"), "jaccard-prefixes"
-    )
-    # The other sets' prefixes have nothing in common with each other: what these name is enough.
-    alone = named_by_poor.filter("windows is null").select("shingle").distinct()
-    others = window.join(alone, "shingle", "left_semi").join(poor.select("node"), "node", "left_anti")
-    return named_by_poor.select("node", "n", "shingle").union(
-        others.join(sets.select("node", "n"), "node").select("node", "n", "shingle")
-    )
+    poor = stage(sets.join(shared, "node").filter(held - F.col("shared") < prefix).select("row_key", "set_key", "node", "n"), "jaccard-poor")
+    poor_sets = stage(_whole_sets(named, poor, words), "jaccard-poor-sets")
+    largest = F.floor(F.col("n") * F.lit(100) / F.lit(percent))
+    wide = F.ceil(F.lit(slack) * (largest - F.ceil(largest * F.lit(percent) / F.lit(100)) + 1)) + prefix - 1
+    smallest = poor_sets.withColumn("wide", (8 * wide).cast("int")).selectExpr("node", "n", "substring(shingles, 1, wide) as shingles")
+    met = window.join(_unpacked(smallest).select("shingle").distinct(), "shingle", "left_semi")
+    met = met.join(poor.select("node"), "node", "left_anti").groupBy("node").agg(F.count("*").alias("met"))
+    touched = sets.join(met, "node").filter(F.col("met") > held - prefix).select("row_key", "set_key", "node", "n")
+    others = _whole_sets(named, stage(touched, "jaccard-touched"), words)
+    return poor_sets.union(stage(others, "jaccard-other-sets"))
+
+
+def _prefixes(members: DataFrame, percent: int) -> DataFrame:
+    """``node``, ``n``, ``shingle``: what of the members' prefixes is on a list of two or more.
+
+    The order is that of frequency among the members, ties by hash. Shingles of one
+    member come first and are on no list, so only the others are ranked.
+    """
+    every = _unpacked(members)
+    common = stage(every.groupBy("shingle").agg(F.count("*").alias("times")).filter("times > 1"), "jaccard-frequencies")
+    own = Window.partitionBy("node")
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / F.lit(100)) + 1
+    ranked = every.join(common, "shingle").withColumn("rank", F.row_number().over(own.orderBy("times", "shingle")))
+    ranked = ranked.withColumn("rank", F.col("rank") + F.col("n") - F.count("*").over(own))
+    return stage(ranked.filter(F.col("rank") <= prefix).select("node", "n", "shingle"), "jaccard-prefixes")
 
 
 def _lists(prefixes: DataFrame, percent: int) -> DataFrame:
@@ -186,22 +203,22 @@ def _lists(prefixes: DataFrame, percent: int) -> DataFrame:
     return entries.join(first, ["shingle", "band"]).select(F.col("node").alias("a"), F.col("first").alias("b")).filter("a <> b").distinct()
 
 
-def _search(named: DataFrame, sets: DataFrame, clusters: DataFrame, words: int, percent: int, block: int) -> DataFrame:
+def _search(members: DataFrame, clusters: DataFrame, percent: int, block: int) -> DataFrame:
     """Links (``a``, ``b``) that connect all sets of a cluster that similarity connects.
 
     A cluster of more than ``block`` sets is dealt out to blocks, and each pair of
     blocks is searched by itself.
     """
-    members = stage(clusters.join(sets.select("node", "n", "row_key", "set_key"), "node"), "jaccard-members")
-    size = members.groupBy("root").agg(
+    placed = clusters.join(members.select("node", "n"), "node")
+    size = placed.groupBy("root").agg(
         F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("n") / F.lit(block * 1500))).cast("int").alias("blocks")
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.select("node", "root").join(size, "root").withColumn("own", own)
+    dealt = placed.select("node", "root").join(size, "root").withColumn("own", own)
     paired = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "node", "root", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     )
-    whole = _whole_sets(named, members, words).join(paired, "node")
+    whole = members.join(paired, "node")
 
     def search(batches):
         at, held = None, ([], [], [])
