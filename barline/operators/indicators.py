@@ -19,10 +19,10 @@ MAX_SOURCE_NULL_RATIO = 0.01
 # Warm-up that makes a restarted 26-row EMA agree to the last bit: the weight
 # of anything older is (25/27)^640, about 4e-22.
 EMA_WARMUP = 640
-# Exponents of the EMA weights are centred here, so they stay inside the
-# double range for a whole segment (at most SEGMENT_ROWS + warm-up + a month
-# at either end).
-_CENTRE = (SEGMENT_ROWS + EMA_WARMUP) // 2
+# Weights are taken relative to the middle of a segment's own rows. Over that many
+# rows the fastest average in use (span 9) stays inside the double range.
+MAX_SEGMENT_ROWS = 5_000
+_LARGEST_EXPONENT = 700.0
 
 
 def indicators(
@@ -78,6 +78,8 @@ _SOURCE_KNOWN = "close IS NOT NULL AND volume IS NOT NULL"
 
 
 def _cut(bars: DataFrame, max_rows: int | None, segment_rows: int) -> Segmented:
+    if segment_rows > MAX_SEGMENT_ROWS:
+        raise ValueError(f"segment_rows is at most {MAX_SEGMENT_ROWS}")
     source = bars.select("ticker", F.to_date("date").alias("date"), "close", "volume")
     return segment(
         source, EMA_WARMUP, valid=F.expr(_SOURCE_KNOWN), max_rows=max_rows, segment_rows=segment_rows
@@ -142,55 +144,55 @@ def _add_features(cut: Segmented) -> DataFrame:
             "bb_lower": F.col("sma_20") - F.lit(2.0) * F.col("_std_20"),
             "bb_width": F.try_divide(F.lit(4.0) * F.col("_std_20"), F.col("sma_20")),
             "volume_ratio_20": F.try_divide(volume.cast("double"), F.col("volume_sma_20")),
-            "_lg_12": F.sum(_log_divisor(close, 12)).over(upto_here),
-            "_lg_26": F.sum(_log_divisor(close, 26)).over(upto_here),
+            "_decay_12": F.sum(_log_decay(close, 12)).over(upto_here),
+            "_decay_26": F.sum(_log_decay(close, 26)).over(upto_here),
         }
     )
-    df = df.withColumns(
-        {
-            "ema_12": ema(close, 12, upto_here, F.col("_lg_12")),
-            "ema_26": ema(close, 26, upto_here, F.col("_lg_26")),
-        }
-    ).withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    # macd has a value on every row from the first known close on: no gaps.
-    return df.withColumn("macd_signal", ema(F.col("macd"), 9, upto_here, None))
+    df = df.withColumns({f"_at_{n}": _relative(F.col(f"_decay_{n}"), cut) for n in (12, 26)})
+    df = df.withColumns({f"ema_{n}": ema(close, n, upto_here, F.col(f"_at_{n}")) for n in (12, 26)})
+    df = df.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
+    # Where macd has a value it has one on every later row: no gaps.
+    df = df.withColumn("_at_9", _relative(F.col("_row") * F.log(F.lit(_decay(9))), cut))
+    return df.withColumn("macd_signal", ema(F.col("macd"), 9, upto_here, F.col("_at_9"), gaps=False))
 
 
-def ema(value: Column, span: int, upto_here, log_divisors: Column | None) -> Column:
+def ema(value: Column, span: int, upto_here, at: Column, gaps: bool = True) -> Column:
     """Exponential moving average as one running sum.
 
     The recurrence is ``y0 = x0``, ``y = (q^g * y_prev + a * x) / (q^g + a)`` with
     ``a = 2 / (span + 1)``, ``q = 1 - a`` and ``g`` the rows since the last known
-    value; a row without a value keeps the last ``y``. Unrolled, ``y`` is a
-    running sum of weighted inputs times a factor of the row, so there is no
-    row loop. With no gap the divisor is 1; otherwise ``log_divisors`` is the
-    running sum of the divisors' logarithms (exactly 0 without gaps).
-
-    Needs ``_row`` (position in the segment) and ``_known_row`` (position of the
-    last known value before this row).
+    value; a row without a value keeps the last ``y``. Unrolled, ``y`` is a sum of
+    inputs, each with its share and with what the rows after it left of it. ``at`` is
+    the logarithm of what all rows so far leave, relative to the middle of the
+    segment's own rows; an input counts ``exp(at here - at there)``.
+
+    Needs ``_row`` and ``_known_row`` (row of the last known value before this one).
+    Rows so far before the segment's own that their factor leaves the double range
+    have no value; nothing of them is left where the own rows begin. Without ``gaps``
+    every row after the first with a value has one.
     """
-    q = _decay(span)
-    row, previous = F.col("_row"), F.col("_known_row")
-    share = F.when(previous.isNull(), F.lit(1.0)).otherwise(F.lit(1.0 - q))
-    term = share * value * F.pow(F.lit(q), F.lit(_CENTRE) - row)
-    if log_divisors is None:
-        return F.sum(term).over(upto_here) * F.pow(F.lit(q), row - F.lit(_CENTRE))
-    # A row's own divisor cancels out of its term: use the product before it.
-    term = term * F.exp(log_divisors - _log_divisor(value, span))
-    known = F.when(value.isNotNull(), row).otherwise(previous)
-    return (
-        F.sum(term).over(upto_here)
-        * F.pow(F.lit(q), known - F.lit(_CENTRE))
-        * F.exp(-log_divisors)
+    a, previous = 1.0 - _decay(span), F.col("_known_row")
+    gap = F.col("_row") - previous if gaps else F.lit(1)
+    share = F.when(previous.isNull(), F.lit(1.0)).otherwise(
+        F.when(gap == 1, F.lit(a)).otherwise(F.lit(a) / (F.pow(F.lit(_decay(span)), gap) + F.lit(a)))
     )
+    total = F.sum(share * value * F.exp(-at)).over(upto_here)
+    return F.when(at <= _LARGEST_EXPONENT, total * F.exp(at))
 
 
-def _log_divisor(value: Column, span: int) -> Column:
+def _log_decay(value: Column, span: int) -> Column:
+    """Logarithm of the share that a known value leaves of the average before it."""
     q = _decay(span)
     gap = F.col("_row") - F.col("_known_row")
-    return F.when(
-        value.isNotNull() & (gap > 1), F.log(F.pow(F.lit(q), gap) + F.lit(1.0 - q))
-    ).otherwise(F.lit(0.0))
+    left = F.when(gap == 1, F.lit(0.0)).otherwise(F.log(F.pow(F.lit(q), gap) + F.lit(1.0 - q)))
+    return F.when(value.isNotNull() & gap.isNotNull(), gap * F.log(F.lit(q)) - left).otherwise(F.lit(0.0))
+
+
+def _relative(exponent: Column, cut: Segmented) -> Column:
+    """``exponent`` less its middle over the segment's own rows."""
+    whole = cut.ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    own = F.when(F.col("_own"), exponent)
+    return exponent - (F.min(own).over(whole) + F.max(own).over(whole)) / F.lit(2.0)
 
 
 def _decay(span: int) -> float:
