@@ -29,6 +29,14 @@ def row_key(*columns: str | Column) -> Column:
     return F.xxhash64(*columns)
 
 
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``frame`` is called that."""
+    names = {c.lower() for c in frame.columns}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
 def null_last(column: str | Column) -> Column:
     """A string that is never NULL and sorts like ``column`` by code point, NULL last."""
     c = F.col(column) if isinstance(column, str) else column

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barline.functions.once import with_computed
-from barline.llm.common import BLANKS, join_few, row_key
+from barline.llm.common import BLANKS, free_name, join_few, row_key
 from barline.sources.tables import stage
 
 
@@ -45,13 +45,14 @@ def find_leaks(
 
 def decontaminate(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs``, all columns, without the rows that contain an item."""
-    keyed = docs.withColumn("_leak_key", row_key(id_col, text_col))
+    key = free_name(docs, "_leak_key")
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
     rows = _rows(docs, id_col, text_col)
     words, percent, miss = (options.pop(k, v) for k, v in (("words", 5), ("percent", 80), ("miss", 1e-9)))
     columns = {"item_col": "item_id", "text_col": "text"} | {k.replace("item_text", "text"): v for k, v in options.items()}
     pairs = _pairs(rows, _items(items, columns["item_col"], columns["text_col"], words), words, percent, miss)
-    leaks = stage(pairs.select(F.col("key").alias("_leak_key")).distinct(), "leaks")
-    return keyed.join(leaks, "_leak_key", "left_anti").drop("_leak_key")
+    leaks = stage(pairs.select(F.col("key").alias(key)).distinct(), "leaks")
+    return keyed.join(leaks, key, "left_anti").drop(key)
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from barline.llm.common import row_key, text_bytes
+from barline.llm.common import free_name, row_key, text_bytes
 from barline.sources.tables import stage
 
 #: Bytes of text that a task's tries hold before the largest is handed on.
@@ -182,14 +182,15 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
     """``docs``, all columns, with one row of each group of equal texts; which one as in ``exact_dedup``."""
     found = stage(owners(docs, id_col=id_col, text_col=text_col, keep=keep), "text-owners")
-    names, place = docs.columns, T.StructType([*docs.schema.fields, T.StructField("_sha", T.StringType())])
+    sha, key = free_name(docs, "_sha"), free_name(docs, "_key")
+    names, place = docs.columns, T.StructType([*docs.schema.fields, T.StructField(sha, T.StringType())])
 
     def digest(batches):
         for b in batches:
             hexes = [hashlib.sha256(t.lower()).hexdigest() for t in text_bytes(b, text_col)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hexes, pa.string())], [*names, "_sha"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(hexes, pa.string())], [*names, sha])
 
-    rows = docs.mapInArrow(digest, place).withColumn("_key", row_key(F.col(id_col).cast("long"), "_sha"))
-    stay = found.select(row_key("keep_id", "text_sha256").alias("_key"), F.col("text_sha256").alias("_sha"))
+    rows = docs.mapInArrow(digest, place).withColumn(key, row_key(F.col(id_col).cast("long"), sha))
+    stay = found.select(row_key("keep_id", "text_sha256").alias(key), F.col("text_sha256").alias(sha))
     # Only rows that repeat both id and text are still more than one.
-    return rows.join(stay, ["_key", "_sha"], "left_semi").dropDuplicates(["_key", "_sha"]).drop("_key", "_sha")
+    return rows.join(stay, [key, sha], "left_semi").dropDuplicates([key, sha]).drop(key, sha)

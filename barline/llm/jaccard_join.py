@@ -17,13 +17,16 @@ from __future__ import annotations
 
 import hashlib
 import math
+from bisect import bisect_left
+from collections.abc import Iterable
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from barline.llm.common import join_few, row_key, text_bytes
+from barline.llm.common import free_name, join_few, row_key, text_bytes
 from barline.llm.components import components
 from barline.sources.tables import discard, stage
 
@@ -257,57 +260,94 @@ def t_occurrence(sets: list[np.ndarray], percent: int, side: np.ndarray | None =
 
     Sets are queries in order of size, each against those before it, so the overlap
     to reach is ``needed`` of the query. The longest lists, as many as DivideSkip's
-    rule gives, are set aside; the others are merged into counts. Candidates that
-    can still reach the overlap are probed by binary search in the long lists. Sets
-    that are already connected with the query are passed over. ``side`` restricts
-    pairs to those of different sides.
+    rule gives, are set aside; the others are merged on a heap. What can still reach
+    the overlap is probed by binary search in the long lists. Sets that are already
+    connected with the query are passed over. ``side`` restricts pairs to those of
+    different sides.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
     sizes = np.array([len(sets[i]) for i in order])
     shingles, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
     holder = np.repeat(np.arange(len(order)), sizes)
-    entries = holder[np.argsort(ids, kind="stable")]  # of list after list, each in order of size
+    entries = holder[np.argsort(ids, kind="stable")].tolist()  # of list after list, each in order of size
     lengths = np.bincount(ids, minlength=len(shingles))
     starts = np.concatenate([[0], np.cumsum(lengths)])
     offsets = np.concatenate([[0], np.cumsum(sizes)])
-    parent = list(range(len(order)))
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    group, sides = np.arange(len(order)), None if side is None else side[order]
 
     found = []
     for q in range(1, len(order)):
-        own = ids[offsets[q] : offsets[q + 1]]
         least = needed(int(sizes[q]), percent)
+        low = int(np.searchsorted(sizes, least))
+        if low >= q:
+            continue
+        own = ids[offsets[q] : offsets[q + 1]]
         own = own[np.argsort(lengths[own], kind="stable")]
         longest = int(lengths[own[-1]])
         n_long = min(len(own) - 1, least - 1, int(least / (0.0085 * math.log2(max(2, longest)) + 1)))
         short, long = own[: len(own) - n_long], np.sort(own[len(own) - n_long :])
-        counts = np.bincount(_merged(entries, starts, lengths, short), minlength=len(order))[:q]
-        can = np.flatnonzero((counts >= least - n_long) & (sizes[:q] * 100 >= percent * sizes[q]))
-        if side is not None:
-            can = can[side[order[can]] != side[order[q]]]
-        for c in can[np.argsort(-counts[can], kind="stable")].tolist():
-            if top(c) == top(q):
-                continue
+        merge = ListMerge(entries, zip(starts[short].tolist(), starts[short + 1].tolist()), low, q)
+        wanted = np.arange(low, q) if sides is None else low + np.flatnonzero(sides[low:q] != sides[q])
+        left = wanted.tolist()
+        while left and (hit := merge.next(least - n_long, left)):
+            c, count = hit
             theirs = ids[offsets[c] : offsets[c + 1]]
             at = np.searchsorted(theirs, long)
             at[at == len(theirs)] = 0
-            both = int(counts[c]) + int((theirs[at] == long).sum())
+            both = count + int((theirs[at] == long).sum())
             if 100 * both >= percent * (int(sizes[q]) + int(sizes[c]) - both):
-                parent[top(c)] = top(q)
+                group[group == group[c]] = group[q]
+                wanted = wanted[group[wanted] != group[q]]
+                left = wanted.tolist()
                 found.append((int(order[q]), int(order[c])))
     return found
 
 
-def _merged(entries: np.ndarray, starts: np.ndarray, lengths: np.ndarray, lists: np.ndarray) -> np.ndarray:
-    """The entries of several lists, one list after the other."""
-    n = lengths[lists]
-    jump = np.repeat(starts[lists] - np.concatenate([[0], np.cumsum(n)[:-1]]), n)
-    return entries[jump + np.arange(len(jump))]
+class ListMerge:
+    """Sorted lists, stretches of ``entries``, merged on a heap from ``low`` up to ``end`` (exclusive)."""
+
+    def __init__(self, entries: list[int], stretches: Iterable[tuple[int, int]], low: int, end: int) -> None:
+        self.entries, self.heap = entries, []  # heap: (entry, its place, where its list ends)
+        for first, last in stretches:
+            self._enter(low, first, bisect_left(entries, end, first, last))
+
+    def _enter(self, entry: int, place: int, last: int) -> None:
+        """A list joins the heap from its first ``entry`` or larger on."""
+        place = bisect_left(self.entries, entry, place, last)
+        if place < last:
+            heappush(self.heap, (self.entries[place], place, last))
+
+    def next(self, least: int, left: list[int]) -> tuple[int, int] | None:
+        """The next of ``left`` (ascending) that is on ``least`` lists, and on how many; None after the last.
+
+        Of the entries before the one that ``least`` minus one lists are behind, none
+        is on enough lists, so these lists skip ahead to it.
+        """
+        heap = self.heap
+        while len(heap) >= least:
+            at = bisect_left(left, heap[0][0])
+            if at == len(left):
+                return None
+            entry = left[at]
+            while heap and heap[0][0] < entry:
+                _, place, last = heappop(heap)
+                self._enter(entry, place, last)
+            taken = []
+            while heap and heap[0][0] == entry:
+                taken.append(heappop(heap))
+            if (count := len(taken)) >= least:
+                ahead = entry + 1
+            else:
+                while heap and len(taken) < least - 1:
+                    taken.append(heappop(heap))
+                if not heap:
+                    return None
+                ahead = max(entry + 1, heap[0][0])
+            for _, place, last in taken:
+                self._enter(ahead, place, last)
+            if count >= least:
+                return entry, count
+        return None
 
 
 def _classes(rows: DataFrame, sets: DataFrame, reached: DataFrame) -> DataFrame:
@@ -329,8 +369,9 @@ def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     Rows without shingles stay; of rows that repeat both id and text one stays.
     """
     classes = stage(jaccard_join(docs, id_col=id_col, text_col=text_col, **options), "jaccard-classes")
-    alone = classes.filter("class_key is null").select(F.col("row_key").alias("_key"))
+    key = free_name(docs, "_key")
+    alone = classes.filter("class_key is null").select(F.col("row_key").alias(key))
     first = classes.filter("class_key is not null").groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"))
-    stay = alone.union(first.select(F.col("first.row_key").alias("_key")))
-    keyed = docs.withColumn("_key", row_key(F.col(id_col).cast("long"), text_col))
-    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    stay = alone.union(first.select(F.col("first.row_key").alias(key)))
+    keyed = docs.withColumn(key, row_key(F.col(id_col).cast("long"), text_col))
+    return keyed.join(stay, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -204,8 +204,9 @@ def with_scores(
     most_labelled: int = 20_000,
     rows: int = 2048,
     dims: int = 48,
+    score_col: str = "quality_score",
 ) -> DataFrame:
-    """``docs``, all columns, with ``quality_score``; rows as in ``quality_scores``."""
+    """``docs``, all columns, with ``score_col``; rows as in ``quality_scores``."""
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     vectors = word_vectors(named, rows, dims)
     network = _fitted(named, labels, vectors, label_id, label_col, most_labelled)
@@ -215,9 +216,9 @@ def with_scores(
         known = Rows(rows)
         for b in batches:
             x = np.array([pooled(known.of(t), vectors) for t in text_bytes(b, text_col)]).reshape(-1, 4 * dims + 2)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(network.scores(x), pa.float64())], [*names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(network.scores(x), pa.float64())], [*names, score_col])
 
-    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())]))
+    return docs.mapInArrow(score, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
 
 def _fitted(named: DataFrame, labels: DataFrame, vectors: np.ndarray, label_id: str, label_col: str, most: int) -> Network:

@@ -24,7 +24,8 @@ def odd(spark):
         (10, "ünïcödé 😀 wörds 😀 und Zeichen", "de", "ü", 3),
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
-    clashes = "id key n size score target node row_key text_sha256 kept word hash w h spans frame label page_id bucket".split()
+    clashes = "id key n size score target node row_key text_sha256 kept word hash w h spans frame label page_id bucket "
+    clashes = (clashes + "_key _sha _leak_key quality_score copies taken").split()
     return frame.withColumns({c: F.lit(c) for c in clashes})
 
 

@@ -3,7 +3,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from barline.llm.components import components
-from barline.llm.jaccard_join import drop_near_copies, jaccard_join, t_occurrence
+from barline.llm.jaccard_join import ListMerge, drop_near_copies, jaccard_join, t_occurrence
 
 
 def roots(n, links):
@@ -54,6 +54,20 @@ def test_t_occurrence_connects_what_similarity_connects(sets, percent, crossing)
     assert all((max(p), min(p)) in every for p in found)
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1), min_size=1, max_size=8), st.integers(1, 4), st.sets(st.integers(0, 30), min_size=1))
+def test_a_merge_finds_what_is_on_enough_lists(lists, least, wanted):
+    entries, stretches = [], []
+    for held in lists:
+        stretches.append((len(entries), len(entries) + len(held)))
+        entries.extend(sorted(held))
+    merge, found, left = ListMerge(entries, stretches, 3, 25), [], sorted(wanted)
+    while hit := merge.next(least, left):
+        found.append(hit)
+    times = {i: sum(i in held for held in lists) for i in left if 3 <= i < 25}
+    assert found == [(i, n) for i, n in times.items() if n >= least]
+
+
 @pytest.mark.parametrize("words,percent,slack,block", [(3, 90, 2.0, 1024), (5, 80, 1.5, 3), (3, 60, 1.0, 2)])
 def test_classes_are_those_of_all_pairs(spark, sf, words, percent, slack, block):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(150)
