@@ -14,6 +14,7 @@ from barline.operators import forecast, sequences
 from barline.plans import maintenance
 from barline.schemas import FEATURE_COLUMNS
 from barline.sources import fixtures
+from barline.sources.tables import stage
 
 TRAINED_AT = "2001-11-05 06:00:00"
 
@@ -173,6 +174,46 @@ def fit_ridge_forecaster(spark, folder):
     )
 
 
+_TERMS = forecast.ridge_terms()
+_EQUATIONS = [f"{a}_{b}" for i, a in enumerate(_TERMS) for b in [*_TERMS[i:], "t"]]
+_RIDGE = {
+    **_SCALED,
+    "lagged": "SELECT ticker, close AS t, 1e0 AS one, rn - 30 AS sequence_no, count(*) OVER (PARTITION BY ticker) - 30 AS sequences, "
+    + ", ".join(f"lag({c}) OVER (PARTITION BY ticker ORDER BY date) AS x{i}" for i, c in enumerate(FEATURE_COLUMNS))
+    + " FROM scaled",
+    "design": """SELECT * FROM lagged WHERE sequence_no > 0
+        AND sequence_no <= floor(CAST(sequences AS DOUBLE) * (1e0 - 0.15e0))""",
+}
+
+
+@query(
+    "ridge_normal_equations",
+    sql(
+        "SELECT ticker, "
+        + ", ".join(f"{rnd('sum({} * {})'.format(*e.split('_')), 4)} AS {e}" for e in _EQUATIONS)
+        + " FROM design GROUP BY ticker",
+        "features", extra=_RIDGE,
+    ),
+)
+def ridge_normal_equations(spark, folder):
+    sums = forecast.ridge_sums(stored_features(spark, folder), max_rows=_max_rows(spark, folder))
+    return rounded(sums, {e: 4 for e in _EQUATIONS})
+
+
+@query(
+    "ridge_residual",
+    sql(
+        "SELECT ticker, count(*) AS train_rows, 0e0 AS residual FROM design GROUP BY ticker",
+        "features", extra=_RIDGE,
+    ),
+)
+def ridge_residual(spark, folder):
+    """The fitted weights satisfy the normal equations, so nothing is left of them."""
+    sums = forecast.ridge_sums(stored_features(spark, folder), max_rows=_max_rows(spark, folder))
+    sums = stage(sums, "ridge-sums")
+    return rounded(forecast.ridge_residual(sums, forecast.solve_ridge(sums)), {"residual": 6})
+
+
 _METRICS = {
     **_MODEL,
     "errors": """SELECT p.ticker, (slope * x + intercept - y) * coalesce(nullif(hi_close - lo_close, 0), 1) AS e
@@ -345,3 +386,36 @@ def prediction_records(spark, folder):
 def maintenance_metrics(spark, folder):
     metrics = maintenance.maintenance_metrics(_records(spark, folder))
     return rounded(metrics, {"mae_price": 4, "rmse_price": 4})
+
+
+# The report's models leave out every seventh supplier, to show tickers without one.
+@query(
+    "maintenance_report",
+    sql(
+        f"""SELECT t.ticker, t.feature_rows, m.model_version, coalesce(n.records, 0) AS records,
+            coalesce(n.recent_rows, 0) AS recent_rows, coalesce(n.gap_rows, 0) AS gap_rows,
+            coalesce(n.actual_updates, 0) AS actual_updates, coalesce(n.comparable, 0) AS comparable,
+            {rnd('n.mae_price', 4)} AS mae_price, {rnd('n.rmse_price', 4)} AS rmse_price,
+            CASE WHEN t.feature_rows < 30 THEN 'too_few_rows' WHEN m.ticker IS NULL THEN 'no_model' ELSE 'done' END AS status
+        FROM (SELECT ticker, count(*) AS feature_rows FROM features_wd GROUP BY ticker) t
+        LEFT JOIN some_models m USING (ticker)
+        LEFT JOIN (SELECT ticker, count(*) AS records, count(*) FILTER (action = 'recent') AS recent_rows,
+            count(*) FILTER (action = 'gap') AS gap_rows, count(*) FILTER (action = 'actual') AS actual_updates,
+            count(actual_close) AS comparable, avg(abs(predicted_close - actual_close)) AS mae_price,
+            sqrt(avg((predicted_close - actual_close) ** 2)) AS rmse_price
+            FROM records JOIN some_models USING (ticker) GROUP BY ticker) n USING (ticker)""",
+        "features_wd", "predictions", "weekday_bars",
+        extra={
+            **_RECORDS,
+            "some_models": """SELECT ticker, ticker || '_v20011105T060000' AS model_version FROM model
+                WHERE CAST(substr(ticker, 2) AS BIGINT) % 7 <> 3""",
+        },
+    ),
+)
+def maintenance_report(spark, folder):
+    features = stored_weekday_features(spark, folder)
+    scaler, _, model = _fit(spark, folder, features)
+    some = _versioned(model).filter(F.expr("cast(substr(ticker, 2) as bigint) % 7 <> 3"))
+    records = maintenance.prediction_records(_gaps(spark, folder, features), scaler, some)
+    report = maintenance.maintenance_report(features, some, records)
+    return rounded(report, {"mae_price": 4, "rmse_price": 4})

@@ -98,6 +98,29 @@ def maintenance_metrics(records: DataFrame) -> DataFrame:
     )
 
 
+def maintenance_report(features: DataFrame, model: DataFrame, records: DataFrame) -> DataFrame:
+    """A row for every ticker with features: its metrics, and why it was skipped if it was.
+
+    ``status`` is ``too_few_rows`` for less than one window of rows, ``no_model``, or
+    ``done``; counts are 0 where nothing was due.
+    """
+    metrics = maintenance_metrics(records)
+    counts = [c for c, kind in metrics.dtypes if kind == "bigint"]
+    series = features.groupBy("ticker").agg(F.count(F.lit(1)).alias("feature_rows"))
+    trained = model.select("ticker", "model_version")
+    status = (
+        F.when(F.col("feature_rows") < SEQUENCE_ROWS, "too_few_rows")
+        .when(F.col("model_version").isNull(), "no_model")
+        .otherwise("done")
+    )
+    return (
+        series.join(trained, "ticker", "left")
+        .join(metrics, "ticker", "left")
+        .na.fill(0, counts)
+        .withColumn("status", status)
+    )
+
+
 def fill_latest_actuals(stored: DataFrame, features: DataFrame, prices: DataFrame) -> DataFrame:
     """Fill ``actual_close`` where NULL, on each ticker's latest feature date only."""
     latest = features.groupBy("ticker").agg(F.max("date").alias("predicted_date"))

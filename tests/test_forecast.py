@@ -108,6 +108,18 @@ def test_ridge_equals_the_normal_equations(features):
     assert model["A"]["train_rows"] == n
 
 
+def test_ridge_of_an_older_shorter_feature_list_predicts(features):
+    columns = FEATURE_COLUMNS[:5]
+    model = forecast.fit_ridge(features, columns=columns)
+    scaler = sequences.fit_scaler(features)
+    got = {r["ticker"]: r for r in forecast.predict_ridge(features, scaler, model, 5).collect()}
+    pdf, scaled, lo, span = matrix(features, "B")
+    weights = model.filter("ticker = 'B'").first()["weights"]
+    want = (scaled[-1, :5] @ weights[:5] + weights[5]) * span[0] + lo[0]
+    assert got["B"]["predicted_close"] == pytest.approx(want)
+    assert got["B"]["based_on_date"] == pdf["date"].iloc[-1]
+
+
 def test_latest_rows_limit_before_the_shuffle(features):
     latest = sequences.latest_rows(features.select("ticker", "date"), 30)
     assert {r["count"] for r in latest.groupBy("ticker").count().collect()} == {30}
