@@ -112,42 +112,56 @@ def test_read_documents(spark, tmp_path):
 
 def test_stream_equals_batch_and_replay_changes_nothing(spark):
     base = scratch_folder(spark, "test-stream")
-    store = jobs.Store(f"{base}/store")
+    store = jobs.Store(f"{base}/store", grain="yyyy")
     for part in ((0, 70), (60, 130)):
         docs(spark, *part).coalesce(1).write.mode("append").parquet(f"{base}/docs")
 
     def run(checkpoint):
-        stream = ingest_stream(
-            read_documents(spark, f"{base}/docs", 1), store.prices, store.raw, f"{base}/{checkpoint}"
-        )
-        stream.awaitTermination()
+        ingest_stream(read_documents(spark, f"{base}/docs", 1), store, f"{base}/{checkpoint}").awaitTermination()
 
     run("c1")
     once = snapshot(store.prices, spark, ["created_at", "updated_at"])
     assert len(once) == 260
     run("c2")  # a lost checkpoint: everything is read again
     assert snapshot(store.prices, spark, ["created_at", "updated_at"]) == once
-    whole = jobs.Store(f"{base}/whole")
+    whole = jobs.Store(f"{base}/whole", grain="yyyy")
     jobs.ingest_backfill(spark, whole, docs(spark, 0, 130), RunContext("r"))
     assert snapshot(whole.prices, spark, ["created_at", "updated_at"]) == once
+    assert_same(got(store.features.read(spark)), got(whole.features.read(spark)))
+
+
+def test_stream_refuses_what_the_batch_refuses(spark):
+    base = scratch_folder(spark, "test-stream-gate")
+    good = document([(d, 50.0) for d in DAYS[:10]])
+    bad = good.replace('"100"', '"-1"', 3)  # three of ten rows with a negative volume
+    data = spark.createDataFrame([("GOOD", good), ("BAD", bad), ("NONE", "not json")], "ticker string, doc string")
+    data.write.parquet(f"{base}/docs")
+    store, whole = jobs.Store(f"{base}/store"), jobs.Store(f"{base}/whole")
+    ingest_stream(read_documents(spark, f"{base}/docs"), store, f"{base}/c").awaitTermination()
+    jobs.ingest_backfill(spark, whole, data, RunContext("stream"))
+    times = ["created_at", "updated_at", "ingested_at"]
+    for mine, theirs in ((store.prices, whole.prices), (store.raw, whole.raw)):
+        assert snapshot(mine, spark, [c for c in times if c in mine.schema.names]) == snapshot(
+            theirs, spark, [c for c in times if c in mine.schema.names]
+        )
+    assert {r[0] for r in store.prices.read(spark).select("ticker").distinct().collect()} == {"GOOD"}
+    assert store.raw.read(spark).filter("ticker = 'BAD'").count() == 10
+    logs = [sorted(map(str, spark.read.parquet(s.quality).drop("created_at").collect())) for s in (store, whole)]
+    assert logs[0] == logs[1] and any("reject_ratio_threshold" in r for r in logs[0])
 
 
-def test_stream_features_continue_and_flag_late_rows(spark):
+def test_stream_features_take_late_bars_and_gaps(spark):
     base = scratch_folder(spark, "test-stream-features")
-    bars = frame(spark, series("A", walk(200, 8)), series("B", walk(60, 9)))
-    cuts = ["1990-01-01", "1990-02-10", "1990-04-01", "2000-01-01"]
-    parts = [bars.filter(f"date >= '{a}' AND date < '{b}'") for a, b in zip(cuts, cuts[1:])]
-    parts.append(bars.filter("ticker = 'A' AND date = '1990-01-05'"))
-    for part in parts:
+    store = jobs.Store(f"{base}/store", grain="yyyy")
+    gappy = list(walk(200, 8))
+    gappy[70] = None
+    bars = frame(spark, series("A", gappy), series("B", walk(60, 9)))
+    late = "ticker = 'A' AND date = '1990-01-05'"
+    cuts = ["1990-01-01", "1990-04-01", "2000-01-01"]
+    parts = [bars.filter(f"date >= '{a}' AND date < '{b}' AND NOT ({late})") for a, b in zip(cuts, cuts[1:])]
+    for part in (*parts, bars.filter(late)):
         part.coalesce(1).write.mode("append").parquet(f"{base}/bars")
-        stream = (
-            stream_features(spark.readStream.schema(bars.schema).parquet(f"{base}/bars"))
-            .writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", f"{base}/c").option("path", f"{base}/out")
-            .trigger(availableNow=True).start()
-        )
-        stream.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    assert_same(got(out.filter("NOT late").drop("late")), got(stock_features(bars)))
-    late = out.filter("late").collect()
-    assert [(r["ticker"], str(r["date"])) for r in late] == [("A", "1990-01-05")]
+        arriving = spark.readStream.schema(bars.schema).parquet(f"{base}/bars")
+        stream_features(arriving, store, f"{base}/c").awaitTermination()
+    assert store.prices.read(spark).count() == 260
+    assert_same(got(store.features.read(spark)), got(stock_features(bars)))
