@@ -81,7 +81,7 @@ _DEDUP_SQL = f"""
 
 
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.lm_scores(_table(spark, sf_dir, "documents"))
+    return lm_scoring.word_scores(_table(spark, sf_dir, "documents"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

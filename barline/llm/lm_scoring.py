@@ -1,25 +1,29 @@
 """Language-model scores by masked pseudo-likelihood.
 
-A window network predicts every token from its neighbours on both sides: embeddings
-of the left and the right token, a hidden layer, a softmax over token classes. It
-is trained in numpy on how often the whole corpus has each class between each pair
-of classes. Those counts are all that a network with this window can learn from a
-corpus, and there are at most ``classes`` cubed of them, so training is exact,
-full-batch, and costs the same for any corpus. A document's score is the sum of
-its tokens' conditional log-probabilities.
+A window network predicts every token from two on either side: embeddings of the
+four, a hidden layer, a softmax over token classes, and the word's share of its class
+(``word_scores``). The vocabulary and its embeddings grow with the corpus. The
+network starts from a smaller one of classes with one token on either side
+(``lm_scores``), trained in numpy, full-batch, on how often the whole corpus has each
+class between each pair of classes. From there the embedding of every word at every
+place takes a Newton step along its gradient over all tokens, summed in Spark. A
+document's score is the sum of its tokens' conditional log-probabilities.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from barline.llm.common import text_bytes
+from barline.sources.tables import stage
 
 #: The class of what stands before the first and after the last token.
 EDGE = 0
@@ -95,8 +99,15 @@ def window_counts(rows: DataFrame, words: list[bytes], buckets: int) -> np.ndarr
     return total.reshape(classes * classes, classes)
 
 
-def train(counts: np.ndarray, *, hidden: int = 24, steps: int = 150, rate: float = 0.05, seed: int = 11) -> np.ndarray:
-    """Log-probabilities (pairs, classes) of the network fitted to ``counts`` by full-batch Adam."""
+def train(counts: np.ndarray, **how) -> np.ndarray:
+    """Log-probabilities (pairs, classes) of the network fitted to ``counts``."""
+    el, er, b, w, c = fitted(counts, **how)
+    every = np.arange(len(counts))
+    return _log_softmax(np.tanh(el[every // len(el)] + er[every % len(el)] + b) @ w + c).astype(np.float32)
+
+
+def fitted(counts: np.ndarray, *, hidden: int = 24, steps: int = 150, rate: float = 0.05, seed: int = 11) -> list[np.ndarray]:
+    """Left and right embeddings, hidden bias, output weights and bias, fitted to ``counts`` by full-batch Adam."""
     classes = counts.shape[1]
     rng = np.random.default_rng(seed)
     seen = np.flatnonzero(counts.sum(1))
@@ -116,9 +127,7 @@ def train(counts: np.ndarray, *, hidden: int = 24, steps: int = 150, rate: float
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-10)
-    el, er, b, w, c = params
-    every = np.arange(classes * classes)
-    return _log_softmax(np.tanh(el[every // classes] + er[every % classes] + b) @ w + c).astype(np.float32)
+    return params
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -171,3 +180,251 @@ def lm_scores(
     scored = rows.mapInArrow(score, f"doc_id {rows.schema['id'].dataType.simpleString()}, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))
+
+
+#: Places of the window, relative to the token that is predicted.
+PLACES = (-2, -1, 1, 2)
+#: Fixed point of summed gradients, so that sums do not depend on their order.
+UNIT = 1 << 20
+#: Texts are taken up so many bytes at a time, tokens so many.
+TAKEN, BLOCK = 1 << 22, 1 << 14
+
+
+def tokens(batch: pa.RecordBatch):
+    """Parts of a batch: how many tokens each row has, a number per token, and the word of each number."""
+    texts = pc.ascii_lower(pc.fill_null(batch.column("text"), ""))
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + TAKEN, "right")))
+        split = pc.ascii_split_whitespace(texts.slice(at, to - at))
+        words = split.flatten()
+        there = pc.greater(pc.binary_length(words), 0)
+        total = np.concatenate([[0], np.cumsum(there.to_numpy(zero_copy_only=False))])
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        found = words.filter(there).cast(pa.binary()).dictionary_encode()
+        yield np.diff(total[offsets]), found.indices.to_numpy(), found.dictionary
+        at = to
+
+
+class Vocabulary:
+    """Words to numbers: 0 an edge, then words by falling frequency, the last number for all rarer ones."""
+
+    def __init__(self, words: list[bytes], n: np.ndarray, rare: int, classes: int, buckets: int) -> None:
+        self.number = {w: i + 1 for i, w in enumerate(words)}
+        self.rare = len(words) + 1
+        own = min(len(words), classes - 1 - buckets)
+        self.kind = np.zeros(self.rare + 1, np.int64)
+        self.kind[1 : own + 1] = np.arange(1, own + 1)
+        self.kind[own + 1 : -1] = [own + 1 + zlib.crc32(w) % (buckets - 1) for w in words[own:]]
+        self.kind[-1] = own + buckets
+        self.classes = own + 1 + buckets
+        self.n = np.concatenate([[0.0], n, [rare]])
+        of_kind = np.bincount(self.kind, self.n, self.classes)
+        #: Of a token given its class; that of a rare word is up to its letters.
+        self.within = np.log(np.maximum(self.n, 1) / np.maximum(of_kind[self.kind], 1))
+
+    def padded(self, sizes: np.ndarray, codes: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all tokens with two edges before, between and behind rows; and the places of the tokens."""
+        get, rare = self.number.get, self.rare
+        numbers = np.array([get(w, rare) for w in words.to_pylist()], np.int64)
+        places = np.arange(len(codes)) + 2 * np.repeat(np.arange(1, len(sizes) + 1), sizes)
+        out = np.zeros(len(codes) + 2 * len(sizes) + 2, np.int64)
+        out[places] = numbers[codes] if len(codes) else 0
+        return out, places
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``word`` and ``n``, of every word of the corpus."""
+
+    def count(batches):
+        for b in batches:
+            for _, codes, words in tokens(b):
+                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], ["word", "n"])
+
+    return rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _letters(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each byte of the words, and the end of each, the pair it makes with the byte before; where the words start."""
+    line = np.frombuffer(b"\n" + b"".join(w + b"\n" for w in words), np.uint8).astype(np.int64)
+    return line[:-1] * 256 + line[1:], np.concatenate([[0], np.flatnonzero(line[1:] == 10)[:-1] + 1]).astype(np.int64)
+
+
+def spelling(rare: DataFrame) -> np.ndarray:
+    """Log-probabilities of a byte, or a word's end, after another, from the words of ``rare`` as often as they occur."""
+
+    def count(batches):
+        total = np.zeros(1 << 16, np.int64)
+        for b in batches:
+            if b.num_rows:
+                pairs, starts = _letters(b.column("word").to_pylist())
+                times = np.repeat(b.column("n").to_numpy(), np.diff(np.append(starts, len(pairs))))
+                total += np.bincount(pairs, times, 1 << 16).astype(np.int64)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["pair", "n"])
+
+    table = rare.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    n = np.full(1 << 16, 0.1)
+    n[table.column("pair").to_numpy()] += table.column("n").to_numpy()
+    n = n.reshape(256, 256)
+    return np.log(n / n.sum(1, keepdims=True)).ravel()
+
+
+def _class_counts(rows: DataFrame, vocabulary) -> np.ndarray:
+    """How often each class stands between each pair of classes: (pairs, classes)."""
+    size = vocabulary.value.classes
+
+    def count(batches):
+        known, total = vocabulary.value, np.zeros(size**3, np.int64)
+        for b in batches:
+            for part in tokens(b):
+                numbers, at = known.padded(*part)
+                kinds = known.kind[numbers]
+                total += np.bincount((kinds[at - 1] * size + kinds[at + 1]) * size + kinds[at], minlength=size**3)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], ["cell", "n"])
+
+    table = rows.select("text").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(size**3)
+    total[table.column("cell").to_numpy()] = table.column("n").to_numpy()
+    return total.reshape(size * size, size)
+
+
+def _slopes(counts: np.ndarray, params: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every pair of classes the expected output weights and the hidden layer's slope; the mean curvature of the loss."""
+    el, er, b, w, c = params
+    every = np.arange(len(counts))
+    h = np.tanh(el[every // len(el)] + er[every % len(el)] + b)
+    p = np.exp(_log_softmax(h @ w + c))
+    expected, slope = p @ w.T, 1 - h * h
+    share = counts.sum(1, keepdims=True) / max(1.0, counts.sum())
+    curvature = (share * slope**2 * (p @ (w * w).T - expected**2)).sum(0)
+    return expected.astype(np.float32), slope.astype(np.float32), curvature
+
+
+def _word_gradients(rows: DataFrame, vocabulary, start) -> np.ndarray:
+    """The gradient of the loss by the embedding of every word at every place, over all tokens: (places, words, hidden)."""
+    hidden = start.value[0].shape[1]
+    names = [f"g{i}" for i in range(hidden)]
+
+    def sums(batches):
+        known, (expected, slope, weights) = vocabulary.value, start.value
+        total = np.zeros((len(PLACES), len(known.n), hidden))
+        for b in batches:
+            for part in tokens(b):
+                numbers, _ = known.padded(*part)
+                numbers = np.pad(numbers, 3)
+                kinds = known.kind[numbers]
+                for i in range(3, len(numbers) - 3, BLOCK):
+                    to = min(i + BLOCK, len(numbers) - 3)
+                    # A word at place o of a token is what stands there; the token is o before the word.
+                    pairs = kinds[i - 3 : to + 1] * known.classes + kinds[i - 1 : to + 3]
+                    back = expected.take(pairs, 0)
+                    back -= weights.take(kinds[i - 2 : to + 2], 0)
+                    back *= slope.take(pairs, 0)
+                    back[numbers[i - 2 : to + 2] == EDGE] = 0
+                    block = numbers[i:to]
+                    order = np.argsort(block)
+                    last = np.flatnonzero(np.diff(block[order], append=-1))
+                    back, ends = np.ascontiguousarray(back.T), block[order[last]]
+                    for k, o in enumerate(PLACES):
+                        run = np.cumsum(back.take(order + (2 - o), 1), 1, np.float64).take(last, 1)
+                        total[k, ends] += np.diff(run, axis=1, prepend=0.0).T
+        total = np.rint(total * UNIT).astype(np.int64).reshape(-1, hidden)
+        there = np.flatnonzero(total.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(there), *map(pa.array, total[there].T.copy())], ["row", *names])
+
+    found = rows.select("text").mapInArrow(sums, "row long, " + ", ".join(f"{g} long" for g in names))
+    table = found.groupBy("row").agg(*[F.sum(g).alias(g) for g in names]).toArrow()
+    out = np.zeros((len(vocabulary.value.n) * len(PLACES), hidden))
+    for i, g in enumerate(names):
+        out[table.column("row").to_numpy(), i] = table.column(g).to_numpy() / UNIT
+    return out.reshape(len(PLACES), -1, hidden)
+
+
+def _embeddings(vocabulary: Vocabulary, params: list[np.ndarray], gradients: np.ndarray, curvature: np.ndarray) -> np.ndarray:
+    """Each word's vector at each place: that of its class, moved a Newton step; words seen seldom move less."""
+    el, er = params[:2]
+    out = np.zeros(gradients.shape)
+    out[1], out[2] = el[vocabulary.kind], er[vocabulary.kind]
+    n = np.maximum(vocabulary.n, 1.0)
+    n[EDGE] = n.sum()
+    out -= STEP * gradients / (n[:, None] * curvature + DAMPING * curvature.mean() + 1e-9)
+    return out.astype(np.float32)
+
+
+#: Part of a Newton step that words move, all at once; and the tokens' worth of doubt about each.
+STEP, DAMPING = 0.12, 50.0
+
+
+def _log_probabilities(numbers: np.ndarray, at: np.ndarray, known: Vocabulary, model: tuple) -> np.ndarray:
+    """Of each token given the words at ``PLACES``, but for the letters of rare words."""
+    vectors, b, w, c = model
+    out, ones = np.empty(len(at)), np.ones(len(c), np.float32)
+    # Hidden values are at most 1, so output is as well bounded; exponentials mostly stay in the range of floats.
+    wide = np.abs(w).sum(0).max() + np.abs(c).max() > 80
+    for i in range(0, len(at), BLOCK >> 3):
+        place = at[i : i + (BLOCK >> 3)]
+        token = numbers[place]
+        h = vectors[0].take(numbers[place - 2], 0)
+        for k, o in enumerate(PLACES[1:], 1):
+            h += vectors[k].take(numbers[place + o], 0)
+        h += b
+        x = np.tanh(h, out=h) @ w
+        x += c
+        if wide:
+            x -= x.max(1, keepdims=True)
+        right = x[np.arange(len(place)), known.kind[token]]
+        out[i : i + len(place)] = right - np.log(np.exp(x, out=x) @ ones) + known.within[token]
+    return out
+
+
+def word_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", classes: int = 128, buckets: int = 32) -> DataFrame:
+    """``lm_scores`` of words, not classes, each predicted from two on either side; columns and rows as there.
+
+    A token's probability is that of its class given the window, times that of the
+    word in its class. Every word that occurs at least 8 times, or a hundredth of the
+    root of the number of tokens where that is more, is in the vocabulary: it has a
+    vector of its own for each place of the window and its own share of its class.
+    The words below that are one class, told apart by their bytes. To the driver come
+    the vocabulary, four vectors for each of its words, and at most ``classes`` cubed
+    counts.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    context = docs.sparkSession.sparkContext
+    counted = stage(word_counts(rows), "lm-words")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    least = max(8, math.isqrt(total) // 100)
+    table = counted.filter(F.col("n") >= least).toArrow()
+    words, n = table.column("word").to_pylist(), table.column("n").to_numpy()
+    order = sorted(range(len(words)), key=lambda i: (-n[i], words[i]))
+    known = Vocabulary([words[i] for i in order], n[order], total - int(n.sum()), classes, buckets)
+    vocabulary = context.broadcast(known)
+    letters = spelling(counted.filter(F.col("n") < least))
+    counts = _class_counts(rows, vocabulary)
+    params = fitted(counts)
+    expected, slope, curvature = _slopes(counts, params)
+    start = context.broadcast((expected, slope, params[3].T.astype(np.float32)))
+    vectors = _embeddings(known, params, _word_gradients(rows, vocabulary, start), curvature)
+    model = context.broadcast((vectors, *(p.astype(np.float32) for p in params[2:]), letters))
+
+    def score(batches):
+        known, (*net, spelled) = vocabulary.value, model.value
+        for b in batches:
+            sizes, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for size, codes, words in tokens(b):
+                numbers, at = known.padded(size, codes, words)
+                logs = _log_probabilities(numbers, at, known, net)
+                if len(codes):
+                    pairs, starts = _letters(words.to_pylist())
+                    logs += np.where(numbers[at] == known.rare, np.add.reduceat(spelled[pairs], starts)[codes], 0.0)
+                sizes.append(size)
+                sums.append(np.bincount(np.repeat(np.arange(len(size)), size), logs, len(size)))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(sums))], ["doc_id", "n_tokens", "log_likelihood"]
+            )
+
+    scored = rows.mapInArrow(score, f"doc_id {rows.schema['id'].dataType.simpleString()}, n_tokens long, log_likelihood double")
+    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-F.col("mean_log_prob")))

@@ -76,3 +76,42 @@ def test_network_calibration():
     scores, truth = network.scores(fresh), 1 / (1 + np.exp(-3 * fresh[:, 0]))
     assert np.abs(scores - truth).mean() < 0.06
     assert not pooled(np.array([], np.int64), np.ones((3, 2))).any()
+
+
+def test_every_frequent_word_has_its_own_probability_and_rare_ones_go_by_their_letters(spark):
+    words = [f"wort{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(600)]
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(words[k] for k in rng.permutation(600)[:200])) for i in range(60)]
+    # Far beyond the 95 most frequent words: one three times as frequent as another, after the same neighbours.
+    rows += [(1000 + i, "worta zzoft wortb") for i in range(90)] + [(2000 + i, "worta zzfew wortb") for i in range(30)]
+    rows += [(4000 + i, f"haus{chr(97 + i // 20)}{chr(97 + i % 20)}") for i in range(400)]
+    rows += [(3000, "worta haustor wortb"), (3001, "worta \x01\x02\x03#%~^ wortb"), (3002, ""), (3003, None)]
+    got = {r.doc_id: r for r in lm_scoring.word_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows) and all(math.isfinite(r.log_likelihood) and r.log_likelihood <= 0 for r in got.values())
+    assert got[1000].log_likelihood > got[2000].log_likelihood + 0.5
+    assert got[3000].log_likelihood > got[3001].log_likelihood + 5
+    assert got[3003].n_tokens == got[3002].n_tokens == 0 and got[3002].perplexity is None
+
+
+def test_word_scores_by_hand(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in lm_scoring.word_scores(docs).collect()}
+    dealt = {r.doc_id: r for r in lm_scoring.word_scores(docs.repartition(5, "doc_id")).collect()}
+    for r in docs.collect():
+        assert got[r.doc_id].n_tokens == len((r.text or "").encode().lower().split())
+        assert math.isclose(got[r.doc_id].log_likelihood, dealt[r.doc_id].log_likelihood, rel_tol=1e-4, abs_tol=1e-3)
+
+
+def test_the_window_reaches_two_tokens(spark):
+    # The middle word follows from the second neighbours only.
+    rows = [(i, "aa x b1 y cc" if i % 2 else "dd x b2 y ee") for i in range(400)]
+    rows += [(500, "aa x b2 y cc"), (501, "dd x b1 y ee")]
+    got = {r.doc_id: r.log_likelihood for r in lm_scoring.word_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] > got[500] and got[0] > got[501]
+
+
+def test_word_scores_of_odd_rows(odd, none):
+    got = lm_scoring.word_scores(odd)
+    assert got.count() == odd.count()
+    assert got.filter("doc_id in (4, 5, 6) and (n_tokens > 0 or log_likelihood <> 0 or perplexity is not null)").count() == 0
+    assert lm_scoring.word_scores(none).count() == 0
