@@ -32,6 +32,8 @@ ENDS = {
     "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
 }
+#: What a head may hold; anything else ends it.
+HEAD_HOLDS = set("base link meta noscript script style template title".split())
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.I)
 #: A column is padded to its longest cell, but no further than this.
 WIDEST = 60
@@ -60,7 +62,7 @@ class TreeBuilder(HTMLParser):
             self._end({"p"}, {"td", "th", "li", "div", "body", "table", "button"})
         if tag in ENDS:
             self._end(*ENDS[tag])
-        elif self.open[-1].tag == "head" and tag in BLOCKS:
+        elif self.open[-1].tag == "head" and tag not in HEAD_HOLDS:
             self.open.pop()  # a body without its tag
         node = Node(tag, dict(attrs))
         self.open[-1].children.append(node)
@@ -76,6 +78,8 @@ class TreeBuilder(HTMLParser):
         self._end({tag}, {"table"} if tag in ("p", "li", "div", "td", "th", "tr") and tag != "table" else set())
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and BLANK.sub("", data):
+            self.open.pop()  # a body without its tag
         self.open[-1].children.append(data)
 
     def _end(self, tags: set[str], within: set[str]) -> None:

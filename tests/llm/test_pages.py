@@ -56,6 +56,10 @@ def test_odd_pages(spark, tmp_path):
     "page,expected",
     [
         ("<p>One<p>two &amp; <b>three</b>", "One\n\ntwo & three"),
+        ("<head><title>T</title>Hello <b>x</b>", "Hello x"),
+        ("<head><meta charset=utf-8> \n<title>T</title><span>a<div>b</div></span>c", "a\nb\nc"),
+        ("<html><head><script>no</script><img alt=pic>yes", "picyes"),
+        ("<head><title>T</title><noscript>no</noscript><style>no</style></head>yes", "yes"),
         ("<title>no</title><style>a</style><body>yes<script>if (a<b) x</script>", "yes"),
         ("<div hidden>no</div><span style='display: none'>no</span><div>yes</div>", "yes"),
         ("<ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul>after", "- a\n- b\n  3. c\n  4. d\n\nafter"),
