@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from barline.catalog.features import (
     all_features, stored_features, stored_weekday_features, weekday_features,
 )
-from barline.catalog.registry import query, rounded
-from barline.catalog.views import rnd, sql
+from barline.catalog.registry import ORACLE, query, rounded
+from barline.catalog.views import VIEWS, rnd, sql
 from barline.functions.calendar import version_string
 from barline.operators import forecast, sequences
 from barline.plans import maintenance
@@ -308,9 +308,9 @@ _GAPS = {
 }
 
 
-def _gaps(spark, folder, features):
+def _gaps(spark, folder, features, bars=fixtures.weekday_bars):
     return maintenance.prediction_gaps(
-        features, fixtures.predictions(spark, folder), fixtures.weekday_bars(spark, folder),
+        features, fixtures.predictions(spark, folder), bars(spark, folder),
         max_rows=_max_rows(spark, folder),
     )
 
@@ -333,7 +333,11 @@ def prediction_gaps(spark, folder):
     ),
 )
 def missing_predictions(spark, folder):
-    features = weekday_features(spark, folder).select("ticker", "date")
+    return _missing(spark, folder, weekday_features(spark, folder))
+
+
+def _missing(spark, folder, features):
+    features = features.select("ticker", "date")
     cut = sequences.segment(features, 1, max_rows=_max_rows(spark, folder))
     ends = sequences.own_rows(cut.df.withColumn("_position", cut.position())).filter(
         F.col("_position") >= sequences.SEQUENCE_ROWS
@@ -354,10 +358,10 @@ _RECORDS = {
 }
 
 
-def _records(spark, folder):
-    features = stored_weekday_features(spark, folder)
+def _records(spark, folder, stored=stored_weekday_features, bars=fixtures.weekday_bars):
+    features = stored(spark, folder)
     scaler, _, model = _fit(spark, folder, features)
-    return maintenance.prediction_records(_gaps(spark, folder, features), scaler, _versioned(model))
+    return maintenance.prediction_records(_gaps(spark, folder, features, bars), scaler, _versioned(model))
 
 
 @query(
@@ -413,9 +417,49 @@ def maintenance_metrics(spark, folder):
     ),
 )
 def maintenance_report(spark, folder):
-    features = stored_weekday_features(spark, folder)
+    return _report(spark, folder)
+
+
+def _report(spark, folder, stored=stored_weekday_features, bars=fixtures.weekday_bars):
+    features = stored(spark, folder)
     scaler, _, model = _fit(spark, folder, features)
     some = _versioned(model).filter(F.expr("cast(substr(ticker, 2) as bigint) % 7 <> 3"))
-    records = maintenance.prediction_records(_gaps(spark, folder, features), scaler, some)
+    records = maintenance.prediction_records(_gaps(spark, folder, features, bars), scaler, some)
     report = maintenance.maintenance_report(features, some, records)
     return rounded(report, {"mae_price": 4, "rmse_price": 4})
+
+
+# ---- the same on all bars: windows that end on Friday, Saturday and Sunday predict one date, and the latest counts ----
+
+
+def _all_bars_sql(name: str) -> str:
+    latest = f"""SELECT * FROM ({_GAPS['windows']})
+        QUALIFY row_number() OVER (PARTITION BY ticker, predicted_date ORDER BY based_on_date DESC) = 1"""
+    text = ORACLE[name].replace(VIEWS["weekday_bars"][1], "SELECT * FROM bars")
+    return text.replace(_GAPS["windows"], latest)
+
+
+@query("prediction_gaps_all_bars", _all_bars_sql("prediction_gaps"))
+def prediction_gaps_all_bars(spark, folder):
+    return _gaps(spark, folder, all_features(spark, folder), fixtures.bars)
+
+
+@query("missing_predictions_all_bars", _all_bars_sql("missing_predictions"))
+def missing_predictions_all_bars(spark, folder):
+    return _missing(spark, folder, all_features(spark, folder))
+
+
+@query("prediction_records_all_bars", _all_bars_sql("prediction_records"))
+def prediction_records_all_bars(spark, folder):
+    return rounded(_records(spark, folder, stored_features, fixtures.bars), {"predicted_close": 4})
+
+
+@query("maintenance_metrics_all_bars", _all_bars_sql("maintenance_metrics"))
+def maintenance_metrics_all_bars(spark, folder):
+    metrics = maintenance.maintenance_metrics(_records(spark, folder, stored_features, fixtures.bars))
+    return rounded(metrics, {"mae_price": 4, "rmse_price": 4})
+
+
+@query("maintenance_report_all_bars", _all_bars_sql("maintenance_report"))
+def maintenance_report_all_bars(spark, folder):
+    return _report(spark, folder, stored_features, fixtures.bars)

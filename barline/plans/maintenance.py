@@ -28,8 +28,9 @@ def prediction_gaps(
     A window ends at each feature row from the 30th on and predicts the next
     weekday. ``action`` is ``recent`` or ``gap`` for a missing prediction (the
     ticker's last rows, or older), ``actual`` for a stored prediction without
-    an actual, whether or not the actual is known by now. Joins are on
-    (ticker, date) pairs, so no single key is large.
+    an actual, whether or not the actual is known by now. Of windows that predict
+    the same date (Friday's, Saturday's and Sunday's) the latest counts. Joins are
+    on (ticker, date) pairs, so no single key is large.
     """
     cut = segment(features, 1, max_rows=max_rows, segment_rows=segment_rows)
     windows = own_rows(
@@ -42,6 +43,7 @@ def prediction_gaps(
         next_trading_day(F.col("date")).alias("predicted_date"),
         (F.col("_position") > F.col("_length") - recent_rows).alias("_recent"),
     )
+    windows = latest_windows(windows)
     known = stored.select(
         "ticker", "predicted_date",
         F.col("predicted_close").alias("stored_prediction"),
@@ -62,8 +64,18 @@ def prediction_gaps(
     )
 
 
+def latest_windows(windows: DataFrame) -> DataFrame:
+    """One window per ticker and predicted date: that of the latest ``based_on_date`` (K10)."""
+    keys = ["ticker", "predicted_date"]
+    others = [c for c in windows.columns if c not in [*keys, "based_on_date"]]
+    latest = [F.max_by(c, "based_on_date").alias(c) for c in others]
+    settled = windows.groupBy(*keys).agg(F.max("based_on_date").alias("based_on_date"), *latest)
+    return settled.select(*windows.columns)
+
+
 def missing_predictions(windows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Windows without a usable stored prediction."""
+    """Windows without a usable stored prediction, the latest of each predicted date."""
+    windows = latest_windows(windows)
     usable = stored.filter("predicted_close IS NOT NULL").select("ticker", "predicted_date")
     return windows.join(usable, ["ticker", "predicted_date"], "left_anti")
 

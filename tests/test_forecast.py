@@ -188,3 +188,15 @@ def test_histogram_counts_every_error(spark):
     assert rows == {0: (-10.0, 2), 10: (0.0, 1), 13: (3.0, 1), 24: (14.0, 1)}
     same = df.filter("predicted_close = -10")
     assert [(r["bin"], r["frequency"]) for r in dashboard.error_histogram(same).collect()] == [(0, 2)]
+
+
+def test_windows_that_share_a_predicted_date_are_settled_by_the_latest(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(42)]  # ends on a Sunday
+    features = spark.createDataFrame([("A", d, float(i)) for i, d in enumerate(days)], "ticker string, date date, close double")
+    stored = spark.createDataFrame([], "ticker string, predicted_date date, predicted_close double, actual_close double")
+    gaps = {r.predicted_date: r for r in maintenance.prediction_gaps(features, stored, features).collect()}
+    assert maintenance.prediction_gaps(features, stored, features).count() == len(gaps) == 9
+    monday = gaps[dt.date(2024, 2, 12)]
+    assert (monday.based_on_date, monday.close, monday.action) == (days[-1], 41.0, "recent")
+    windows = spark.createDataFrame([("A", d, dt.date(2024, 2, 12)) for d in days[-3:]], "ticker string, based_on_date date, predicted_date date")
+    assert [r.based_on_date for r in maintenance.missing_predictions(windows, stored).collect()] == [days[-1]]
