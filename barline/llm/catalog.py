@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.llm import (
-    decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, mixing, quality, secret_scan, warc,
+    decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, merkle, mixing, quality, secret_scan, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,10 +192,61 @@ _JACCARD_SQL = rf"""
         SELECT r.a AS row, min(t.doc_id) AS component_id FROM reach r JOIN runs t ON t.row = r.b GROUP BY r.a) y USING (row)"""
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    changed = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), changed={"text": changed})
+    told = rows.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("found"), F.col("path")).alias("folded_root"),
+    )
+    return told.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: crc32 of the ASCII text ``{0}``, bit by bit.
+_CRC_SQL = """xor(list_reduce(flatten(list_transform(string_split({0}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END, 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+def _merkle_sql() -> str:
+    """Trees level by level; a row's siblings by its place at each level."""
+    one = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+    told = " || ".join(one.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+    tampered = f"CASE WHEN {_CRC_SQL.format('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+    levels = """
+        SELECT tree, 0 AS level, rank AS place, {digest} AS digest, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+        UNION ALL
+        SELECT tree, level + 1, place // 3, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 2) // 3
+        FROM {self} WHERE n > 1 GROUP BY tree, level, place // 3"""
+    steps = """
+        SELECT l.tree, l.rank, u.level,
+          coalesce(string_agg(u.digest, '' ORDER BY u.place) FILTER (u.place < l.rank // (3 ** u.level)::BIGINT), '') AS before,
+          coalesce(string_agg(u.digest, '' ORDER BY u.place) FILTER (u.place > l.rank // (3 ** u.level)::BIGINT), '') AS after
+        FROM {leaves} l JOIN {nodes} u ON u.tree = l.tree AND u.n > 1
+          AND u.place // 3 = l.rank // (3 ** (u.level + 1))::BIGINT GROUP BY l.tree, l.rank, u.level"""
+    path = "list(before || '|' || after ORDER BY level)"
+    return f"""
+        WITH RECURSIVE told AS (SELECT doc_id, coalesce('1' || source, '0') AS tree, sha256({told.format(text="text")}) AS leaf,
+            sha256({told.format(text=tampered)}) AS found FROM documents),
+        leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM told),
+        nodes AS ({levels.format(digest="leaf", leaves="leaves", self="nodes")}),
+        subroots AS (SELECT 0 AS tree, tree AS name, digest, row_number() OVER (ORDER BY tree) - 1 AS rank FROM nodes WHERE n = 1),
+        tops AS ({levels.format(digest="digest", leaves="subroots", self="tops")}),
+        low AS (SELECT tree, rank, {path} AS path FROM ({steps.format(leaves="leaves", nodes="nodes")}) GROUP BY tree, rank),
+        high AS (SELECT rank, {path} AS path FROM ({steps.format(leaves="subroots", nodes="tops")}) GROUP BY rank),
+        proofs AS (SELECT l.*, s.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+            list_concat(coalesce(low.path, []), coalesce(high.path, [])) AS path
+          FROM leaves l JOIN subroots s ON s.name = l.tree LEFT JOIN low ON low.tree = l.tree AND low.rank = l.rank
+          LEFT JOIN high ON high.rank = s.rank),
+        folds AS (SELECT *, list_reduce(path, lambda node, p: sha256(split_part(p, '|', 1) || node || split_part(p, '|', 2)), found) AS folded_root FROM proofs)
+        SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(path, ''), '|', '')) AS proof_sha256, folded_root,
+          folded_root = root AS verified FROM folds"""
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_secrets, op3_exact_dedup, op4_lm_scores, op5_decontamination, op6_license_scan, op7_warc,
-        op8_html_text, op9_quality, op10_jaccard_join,
+        op8_html_text, op9_quality, op10_jaccard_join, op11_merkle,
     ]
     return {f.__name__: f for f in found}
 
@@ -204,4 +255,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_secrets": _secrets_sql(), "op3_exact_dedup": _DEDUP_SQL, "op5_decontamination": _LEAKS_SQL,
         "op6_license_scan": _licenses_sql(), "op7_warc": _WARC_SQL, "op10_jaccard_join": _JACCARD_SQL,
+        "op11_merkle": _merkle_sql(),
     }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from barline.sources.tables import stage
 
 #: Characters that end a word; all others, punctuation included, belong to one.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -61,3 +64,38 @@ def join_few(rows: DataFrame, wanted: DataFrame, key: str, how: str = "inner", b
         .drop("_place", "_bits")
     )
     return some.join(wanted, key, how)
+
+
+def ranked(rows: DataFrame, group: str, order: list[str], purpose: str) -> DataFrame:
+    """``rows`` with ``rank``: their places from 0 among rows of equal ``group`` by ``order``, NULL first.
+
+    Rows are dealt by ranges of (group, order, a running number), so a group that
+    holds a third of all rows is many ranges, and so are rows that repeat each
+    other. A range numbers its rows as they stream by; what a range has to add to
+    its first group is at most one row per range, which is what is broadcast. The
+    rows are written once, sorted, and keep that order in each file. They should
+    come from a scan or a stage, so that a task that is run again sees them alike.
+    """
+    tie, part, nth, more = (free_name(rows, c) for c in ("_tie", "_part", "_nth", "_more"))
+    by = [F.col(c).asc_nulls_first() for c in (group, *order, tie)]
+    dealt = rows.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by).drop(tie)
+    names = dealt.columns
+
+    def number(batches):
+        here, last, n = TaskContext.get().partitionId(), None, -1
+        for b in batches:
+            places = []
+            for key in b.column(group).to_pylist():
+                n = n + 1 if n >= 0 and key == last else 0
+                last = key
+                places.append(n)
+            columns = [*b.columns, pa.array([here] * len(places), pa.int32()), pa.array(places, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, part, nth])
+
+    fields = [*dealt.schema.fields, T.StructField(part, T.IntegerType()), T.StructField(nth, T.LongType())]
+    placed = stage(dealt.mapInArrow(number, T.StructType(fields)), purpose)
+    held = placed.groupBy(group, part).agg((F.max(nth) + 1).alias(more))
+    before = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select(F.col(group).alias("_g"), F.col(part).alias("_p"), F.sum(more).over(before).alias(more)).filter(F.col(more) > 0)
+    found = placed.join(F.broadcast(offsets), F.col(group).eqNullSafe(F.col("_g")) & (F.col(part) == F.col("_p")), "left")
+    return found.select(*names, (F.col(nth) + F.coalesce(F.col(more), F.lit(0))).alias("rank"))
