@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.llm import (
-    decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, merkle, mixing, quality, secret_scan, warc,
+    conversations, decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, merkle, mixing, quality, secret_scan, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -243,10 +243,59 @@ def _merkle_sql() -> str:
           folded_root = root AS verified FROM folds"""
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(turns), all_ids=turns.select("conv_id")).report
+
+
+def _conversations_sql() -> str:
+    """Row by row: for each state the cheapest cost with its letters and lines."""
+    crc = _CRC_SQL.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+        WITH RECURSIVE hashed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc} % 20 AS fate FROM conversations),
+        rows AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+            CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+          FROM (SELECT *, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) FROM hashed WHERE fate <> 0)),
+        placed AS (SELECT *, rtrim(text, {blanks}) AS ended, CASE WHEN role[1] IN ('s', 'u', 'a') THEN role[1] ELSE 'o' END AS sort,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS nth FROM rows),
+        marked AS (SELECT *, CASE WHEN ended = '' THEN 'b'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nth) > 1 THEN 'd'
+              WHEN right(ended, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+            lag(sort) OVER (PARTITION BY conv_id ORDER BY nth) || sort AS pair FROM placed),
+        counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+            count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+            count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM marked GROUP BY conv_id),
+        inserts(i, k, letters, lines) AS (VALUES (0, 0, '', []::VARCHAR[]), (1, 1, '', []), (2, 2, '', []), (3, 3, '', []),
+            (0, 2, 'I', ['user:']), (0, 3, 'II', ['user:', 'assistant:']), (1, 2, 'I', ['user:']), (1, 3, 'II', ['user:', 'assistant:']),
+            (2, 3, 'I', ['assistant:']), (3, 2, 'I', ['user:'])),
+        keeps(k, sort, j) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+        roles(k, role, j) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+        edits AS (SELECT k, j, sort, 0 AS cost, 'K' AS letter, NULL::VARCHAR AS role FROM keeps
+            UNION ALL SELECT k, j, s, 2, 'R', role FROM roles, (VALUES ('s'), ('u'), ('a'), ('o')) AS sorts(s)
+            UNION ALL SELECT k, k, s, 3, 'D', NULL FROM roles, (VALUES ('s'), ('u'), ('a'), ('o')) AS sorts(s)),
+        best AS (
+          SELECT conv_id, 0::BIGINT AS nth, 0 AS state, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS way FROM (SELECT DISTINCT conv_id FROM conversations)
+          UNION ALL
+          SELECT b.conv_id, any_value(m.nth), e.j, min({{'cost': b.way.cost + 2 * length(x.letters) + e.cost
+                + CASE WHEN m.fault = 't' AND e.letter <> 'D' THEN 1 ELSE 0 END,
+              'audit': b.way.audit || x.letters || e.letter,
+              'lines': list_concat(b.way.lines, x.lines, CASE WHEN e.letter = 'D' THEN [] ELSE [coalesce(e.role, m.role) || ':' || m.text] END)}})
+          FROM best b JOIN marked m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.nth = b.nth + 1
+          JOIN inserts x ON x.i = b.state JOIN edits e ON e.k = x.k AND e.sort = m.sort AND (e.letter = 'D' OR m.fault NOT IN ('b', 'd'))
+          GROUP BY b.conv_id, e.j),
+        ended AS (SELECT b.conv_id, min({{'cost': b.way.cost + 2 * length(x.letters), 'audit': b.way.audit || x.letters, 'lines': list_concat(b.way.lines, x.lines)}}) AS way
+          FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id JOIN inserts x ON x.i = b.state AND x.k IN (0, 3)
+          WHERE b.nth = coalesce(c.n, 0) GROUP BY b.conv_id)
+        SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+          coalesce(illegal, 0) AS illegal, e.way.cost AS cost, e.way.audit AS audit, sha256(coalesce(array_to_string(e.way.lines, chr(10)), '')) AS repaired_sha256
+        FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_secrets, op3_exact_dedup, op4_lm_scores, op5_decontamination, op6_license_scan, op7_warc,
-        op8_html_text, op9_quality, op10_jaccard_join, op11_merkle,
+        op8_html_text, op9_quality, op10_jaccard_join, op11_merkle, op12_conversations,
     ]
     return {f.__name__: f for f in found}
 
@@ -255,5 +304,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_secrets": _secrets_sql(), "op3_exact_dedup": _DEDUP_SQL, "op5_decontamination": _LEAKS_SQL,
         "op6_license_scan": _licenses_sql(), "op7_warc": _WARC_SQL, "op10_jaccard_join": _JACCARD_SQL,
-        "op11_merkle": _merkle_sql(),
+        "op11_merkle": _merkle_sql(), "op12_conversations": _conversations_sql(),
     }
