@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barline.llm import (
-    conversations, decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, merkle, mixing, quality, secret_scan, warc,
+    conversations, decontamination, exact_dedup, html_text, jaccard_join, license_scan, lm_scoring, merkle, mixing, personal_data, quality,
+    secret_scan, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,10 +293,26 @@ def _conversations_sql() -> str:
         FROM ended e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find(_table(spark, sf_dir, "documents"), personal_data.examples(spark))
+
+    def listed(spans: F.Column) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in personal_data.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_mixing, op2_secrets, op3_exact_dedup, op4_lm_scores, op5_decontamination, op6_license_scan, op7_warc,
         op8_html_text, op9_quality, op10_jaccard_join, op11_merkle, op12_conversations,
+        op13_personal_data,
     ]
     return {f.__name__: f for f in found}
 
