@@ -8,6 +8,7 @@ from barline.catalog.registry import query, rounded
 from barline.catalog.views import rnd, sql
 from barline.operators import quality
 from barline.operators.indicators import indicators, min_history, stock_features
+from barline.plans import features as upkeep
 from barline.schemas import FEATURE_COLUMNS
 from barline.sources import fixtures
 from barline.sources.tables import stage
@@ -31,11 +32,7 @@ def rounded_columns(columns: list[str]) -> str:
 
 def all_features(spark, folder):
     """The feature table of all bars."""
-    return stock_features(fixtures.bars(spark, folder), max_rows=fixtures.max_bars(spark, folder))
-
-
-def weekday_features(spark, folder):
-    return stock_features(fixtures.weekday_bars(spark, folder), max_rows=fixtures.max_bars(spark, folder))
+    return stock_features(fixtures.bars(spark, folder))
 
 
 def stored_features(spark, folder):
@@ -43,15 +40,11 @@ def stored_features(spark, folder):
     return stage(all_features(spark, folder), "features")
 
 
-def stored_weekday_features(spark, folder):
-    return stage(weekday_features(spark, folder), "features")
-
-
 def _feature_query(name: str, columns: list[str]) -> None:
     @query(name, sql(f"SELECT ticker, date, {rounded_columns(columns)} FROM indicators", "indicators"))
     def run(spark, folder):
         bars = fixtures.bars(spark, folder)
-        result = indicators(bars, max_rows=fixtures.max_bars(spark, folder))
+        result = indicators(bars)
         return rounded(result.select("ticker", "date", *columns), digits(columns))
 
 
@@ -77,6 +70,40 @@ def stock_feature_table(spark, folder):
     return rounded(all_features(spark, folder), DIGITS)
 
 
+@query(
+    "feat_long_series",
+    sql(f"SELECT ticker, date, {rounded_columns(FEATURE_COLUMNS)} FROM features", "features"),
+)
+def feat_long_series(spark, folder):
+    """The feature table with blocks of 64 days: dozens a ticker, each going on from the states of those before."""
+    return rounded(stock_features(fixtures.bars(spark, folder), block_days=64), DIGITS)
+
+
+@query(
+    "series_marks",
+    sql(
+        """SELECT b.ticker, b.rows, b.null_rows, b.first_date, b.last_date, f.feature_rows, f.feature_last, f.feature_close
+        FROM (SELECT ticker, count(*) AS rows, count(*) FILTER (close IS NULL OR volume IS NULL) AS null_rows,
+                min(date) AS first_date, max(date) AS last_date FROM bars GROUP BY ticker) b
+        LEFT JOIN (SELECT ticker, count(*) AS feature_rows, max(date) AS feature_last, arg_max(close, date) AS feature_close
+                FROM features GROUP BY ticker) f USING (ticker)""",
+        "features",
+    ),
+)
+def series_marks(spark, folder):
+    """What loads, gates and forecasts ask of the table that holds a row per ticker, kept up over two loads."""
+    bars = fixtures.bars(spark, folder)
+    cut = F.lit(fixtures.STORED_BEFORE).cast("date")
+    first = upkeep.rebuilt(bars.filter(F.col("date") < cut))
+    series = stage(first.series(first.features), "series")
+    new = bars.filter(F.col("date") >= cut)
+    update = upkeep.follow_on(new, series, upkeep.starts(series, upkeep.changed_since(new)))
+    after = update.series(update.features)
+    whole = after.unionByName(series.join(after, "ticker", "left_anti"))
+    marks = [F.col(f"state.{c}").alias(n) for c, n in (("rows", "rows"), ("nulls", "null_rows"), ("first_date", "first_date"), ("last_date", "last_date"))]
+    return whole.select("ticker", *marks, "feature_rows", "feature_last", "feature_close")
+
+
 @query(
     "min_history_filter",
     sql(
@@ -88,7 +115,7 @@ def stock_feature_table(spark, folder):
 def min_history_filter(spark, folder):
     # Every test ticker has more than 26 bars; a higher limit shows the filter.
     bars = fixtures.bars(spark, folder).select("ticker", "date", "close", "volume")
-    return min_history(bars, 530, max_rows=fixtures.max_bars(spark, folder))
+    return min_history(bars, 530)
 
 
 @query(
@@ -102,14 +129,14 @@ def min_history_filter(spark, folder):
 )
 def feature_null_cells(spark, folder):
     bars = fixtures.bars(spark, folder)
-    table = indicators(bars, max_rows=fixtures.max_bars(spark, folder))
+    table = indicators(bars)
     return quality.feature_summary(table).select("ticker", "null_cells")
 
 
 def _checks(spark, folder, *names):
     """The named feature checks, on bars with volume gaps."""
     bars = gappy_bars(spark, folder)
-    table = stock_features(bars, max_rows=fixtures.max_bars(spark, folder))
+    table = stock_features(bars)
     found = quality.feature_checks(bars, table)
     return found.filter(F.col("check_name").isin(*names)).drop("details")
 

@@ -16,7 +16,6 @@ VIEWS: dict[str, tuple[list[str], str]] = {
             CAST(sum(l_quantity) AS BIGINT) AS volume
         FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)""",
     ),
-    "weekday_bars": (["bars"], "SELECT * FROM bars WHERE isodow(date) < 6"),
     "payload": (
         ["bars"],
         """SELECT ticker, key, date, m,
@@ -175,7 +174,6 @@ def feature_views(source: str, suffix: str = "") -> dict[str, tuple[list[str], s
 
 
 VIEWS.update(feature_views("bars"))
-VIEWS.update(feature_views("weekday_bars", "_wd"))
 
 
 def sql(body: str, *views: str, extra: dict[str, str] | None = None) -> str:

@@ -1,36 +1,37 @@
 """The seventeen technical-indicator features.
 
-Everything runs on one window specification (series segment, by date), so
-Spark plans a single exchange and sort for all features; Catalyst drops the
-window columns a query does not select.
+Rolling features look back over a block's rows and the halo before it. The
+exponential averages are affine scans: the rows of a block, from its first known
+close on, take an average ``y`` to ``gain * y + end``, so a block is a few numbers,
+and folding them over the blocks of a ticker gives each block the averages it begins
+with. The state behind that fold is kept per ticker by :mod:`barline.plans.features`,
+to go on from when new bars come.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barline.operators.series import SEGMENT_ROWS, Segmented, own_rows, segment
-from barline.schemas import FEATURE_COLUMNS
+from barline.operators.series import BLOCK_DAYS, Segmented, last_of, packed, scanned, with_halo
+from barline.schemas import FEATURE_COLUMNS, SERIES_STATE
 
 # Window lengths and gates.
 MIN_HISTORY_ROWS = 26
 MAX_SOURCE_NULL_RATIO = 0.01
 
-# Warm-up that makes a restarted 26-row EMA agree to the last bit: the weight
-# of anything older is (25/27)^640, about 4e-22.
-EMA_WARMUP = 640
-# Weights are taken relative to the middle of a segment's own rows. Over that many
-# rows the fastest average in use (span 9) stays inside the double range.
-MAX_SEGMENT_ROWS = 5_000
-_LARGEST_EXPONENT = 700.0
+#: Rows before a block that its rolling windows reach: 50 less the row itself.
+HALO_ROWS = 49
+#: Weights within a block are powers of the decay relative to its first row: with the
+#: fastest average in use (span 9), those of so many rows stay inside the double range.
+MOST_BLOCK_DAYS = 3000
 
+STATE = SERIES_STATE.simpleString()
 
-def indicators(
-    bars: DataFrame, *, max_rows: int | None = None, segment_rows: int = SEGMENT_ROWS
-) -> DataFrame:
+
+def indicators(bars: DataFrame, *, block_days: int = BLOCK_DAYS) -> DataFrame:
     """(ticker, date, close, volume) -> ticker, date and all features, NULLs kept."""
-    cut = _cut(bars, max_rows, segment_rows)
-    return own_rows(_add_features(cut).select("ticker", "date", *FEATURE_COLUMNS, *_HELPERS))
+    blocks, carries = _scan(bars, block_days)
+    return features_of(blocks.join(carries.drop("total"), ["ticker", "_seg"]))
 
 
 def stock_features(
@@ -38,52 +39,171 @@ def stock_features(
     *,
     min_rows: int = MIN_HISTORY_ROWS,
     max_null_ratio: float = MAX_SOURCE_NULL_RATIO,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """The stored feature table: gated tickers, complete rows only.
 
     A ticker with fewer than ``min_rows`` bars, or with more than
     ``max_null_ratio`` of them lacking close or volume, gives no rows.
     """
-    cut = _cut(bars, max_rows, segment_rows)
-    rows = cut.length()
-    nulls = rows - cut.valid(F.expr(_SOURCE_KNOWN))
-    gated = cut.df.withColumns({"_n": rows, "_nulls": nulls}).filter(
-        (F.col("_n") >= min_rows) & (F.col("_nulls") / F.col("_n") <= max_null_ratio)
-    )
-    features = _add_features(cut.with_df(gated))
-    return own_rows(
-        features.select("ticker", "date", *FEATURE_COLUMNS, *_HELPERS).na.drop(
-            "any", subset=["date", *FEATURE_COLUMNS]
-        )
-    )
+    blocks, carries = _scan(bars, block_days)
+    gated = carries.filter(usable(F.col("total"), min_rows, max_null_ratio)).drop("total")
+    return complete(features_of(blocks.join(gated, ["ticker", "_seg"])))
 
 
-def min_history(
-    bars: DataFrame,
-    min_rows: int = MIN_HISTORY_ROWS,
-    *,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
-) -> DataFrame:
-    """Bars of tickers with at least ``min_rows`` of them."""
-    cut = segment(bars, 1, max_rows=max_rows, segment_rows=segment_rows)
-    kept = cut.df.withColumn("_n", cut.length()).filter(F.col("_n") >= min_rows)
-    return own_rows(kept.drop("_n"))
+def series_states(bars: DataFrame, *, block_days: int = BLOCK_DAYS) -> DataFrame:
+    """``ticker`` and ``state`` after its last bar."""
+    _, carries = _scan(bars, block_days)
+    return _totals(carries)
+
+
+def resumed(bars: DataFrame, states: DataFrame, *, block_days: int = BLOCK_DAYS) -> tuple[DataFrame, DataFrame]:
+    """Features of ``bars`` that follow on ``states`` (ticker, state), gates and all, and the states after them.
+
+    Reads nothing of the bars before. A ticker without a state begins anew.
+    """
+    blocks, carries = _scan(bars, block_days, states)
+    gated = carries.filter(usable(F.col("total"))).drop("total")
+    return complete(features_of(blocks.join(gated, ["ticker", "_seg"]))), _totals(carries)
+
+
+def _totals(carries: DataFrame) -> DataFrame:
+    return carries.groupBy("ticker").agg(F.any_value("total").alias("state"))
+
+
+def usable(state: Column, min_rows: int = MIN_HISTORY_ROWS, max_null_ratio: float = MAX_SOURCE_NULL_RATIO) -> Column:
+    """Whether a ticker's bars so far pass the source gates."""
+    return (state["rows"] >= min_rows) & (state["nulls"] / state["rows"] <= max_null_ratio)
+
 
+def complete(features: DataFrame) -> DataFrame:
+    return features.na.drop("any", subset=["date", *FEATURE_COLUMNS])
 
-_HELPERS = ["_seg", "_own", "_before", "_rows", "_valid"]
-_SOURCE_KNOWN = "close IS NOT NULL AND volume IS NOT NULL"
+
+def min_history(bars: DataFrame, min_rows: int = MIN_HISTORY_ROWS) -> DataFrame:
+    """Bars of tickers with at least ``min_rows`` of them."""
+    long = bars.groupBy("ticker").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_rows)
+    return bars.join(long, "ticker", "left_semi")
 
 
-def _cut(bars: DataFrame, max_rows: int | None, segment_rows: int) -> Segmented:
-    if segment_rows > MAX_SEGMENT_ROWS:
-        raise ValueError(f"segment_rows is at most {MAX_SEGMENT_ROWS}")
-    source = bars.select("ticker", F.to_date("date").alias("date"), "close", "volume")
-    return segment(
-        source, EMA_WARMUP, valid=F.expr(_SOURCE_KNOWN), max_rows=max_rows, segment_rows=segment_rows
+def bar_blocks(bars: DataFrame, block_days: int = BLOCK_DAYS) -> DataFrame:
+    """Blocks of the columns that features need."""
+    if block_days > MOST_BLOCK_DAYS:
+        raise ValueError(f"block_days is at most {MOST_BLOCK_DAYS}")
+    source = bars.select(
+        "ticker", F.to_date("date").alias("date"), F.col("close").cast("double"), F.col("volume").cast("bigint")
     )
+    return packed(source, block_days=block_days)
+
+
+def _scan(bars: DataFrame, block_days: int, states: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    blocks = bar_blocks(bars, block_days)
+    return blocks, scanned(blocks, summary_of(F.col("list")), no_state(), advanced, start=states)
+
+
+#: Sums that a block's rows are reduced to, see :func:`summary_of`.
+_SUMS = ("gain_12", "end_12", "gain_26", "end_26", "k_12", "k_26", "k")
+_SCAN = (
+    "struct<n: bigint, nulls: bigint, first: bigint, value: double, last: bigint, "
+    + ", ".join(f"{c}: double" for c in _SUMS) + ">"
+)
+
+
+def no_state() -> Column:
+    """The state of a ticker without bars."""
+    known = {"rows": F.lit(0), "nulls": F.lit(0), "gap": F.lit(0), "halo": F.array()}
+    return F.struct(*(known.get(f.name, F.lit(None)).alias(f.name) for f in SERIES_STATE.fields)).cast(STATE)
+
+
+def summary_of(rows: Column) -> Column:
+    """What a block does to a state: its counts and last rows, and its part of the affine scan.
+
+    Coefficients hold from the first known close on: an average that is ``y`` there
+    is ``gain * y + end`` at the block's end, and the signal line takes ``k_12``,
+    ``k_26`` of the two averages there, and ``k``.
+    """
+    q, a = _decay(9), 1.0 - _decay(9)
+    zero = F.struct(
+        F.lit(0).alias("n"), F.lit(0).alias("nulls"), *(F.lit(None).alias(c) for c in ("first", "value", "last")),
+        *(F.lit(0.0).alias(c) for c in _SUMS),
+    )
+
+    def signal(acc: Column) -> list[Column]:
+        """The row before takes part in the signal line, with the averages it had."""
+        return [
+            (q * acc["k_12"] + a * acc["gain_12"]).alias("k_12"),
+            (q * acc["k_26"] + a * acc["gain_26"]).alias("k_26"),
+            (q * acc["k"] + a * (acc["end_12"] - acc["end_26"])).alias("k"),
+        ]
+
+    def row(acc: Column, r: Column) -> Column:
+        n, x = acc["n"] + 1, r["close"]
+        known, begun = x.isNotNull(), acc["first"].isNotNull()
+        averages = []
+        for span in (12, 26):
+            left, taken = _shares(n - acc["last"], span)
+            gain, end = acc[f"gain_{span}"], acc[f"end_{span}"]
+            averages += [
+                F.when(known & begun, gain * left).when(known, F.lit(1.0)).otherwise(gain).alias(f"gain_{span}"),
+                F.when(known & begun, end * left + x * taken).otherwise(end).alias(f"end_{span}"),
+            ]
+        lacking = (x.isNull() | r["volume"].isNull()).cast("bigint")
+        return F.struct(
+            n.alias("n"), (acc["nulls"] + lacking).alias("nulls"), F.coalesce(acc["first"], F.when(known, n)).alias("first"),
+            F.coalesce(acc["value"], x).alias("value"), F.when(known, n).otherwise(acc["last"]).alias("last"),
+            *averages, *signal(acc),
+        ).cast(_SCAN)
+
+    def done(acc: Column) -> Column:
+        counts = [acc[c].alias(c) for c in ("n", "nulls", "first", "value", "last", *_SUMS[:4])]
+        early = F.slice(rows, F.lit(1), F.greatest(F.size(rows) - F.lit(HALO_ROWS), F.lit(0)))
+        return F.struct(
+            *counts, *signal(acc), last_of(rows, HALO_ROWS).alias("tail"), _last_known(early).alias("early"),
+            F.try_element_at(rows, F.lit(1))["date"].alias("first_date"),
+            F.try_element_at(rows, F.lit(-1))["date"].alias("last_date"),
+        )
+
+    return F.aggregate(rows, zero.cast(_SCAN), row, done)
+
+
+def advanced(state: Column, s: Column) -> Column:
+    """The state after a block with summary ``s``."""
+    halo = F.concat(state["halo"], s["tail"])
+    passed = F.slice(halo, F.lit(1), F.greatest(F.size(halo) - F.lit(HALO_ROWS), F.lit(0)))
+    begun, known = state["ema_12"].isNotNull(), s["first"].isNotNull()
+    at = {}  # the averages at the block's first known close
+    for span in (12, 26):
+        left, taken = _shares(state["gap"] + s["first"], span)
+        at[span] = F.when(begun, state[f"ema_{span}"] * left + s["value"] * taken).otherwise(s["value"])
+    # Until then macd stands still, and the signal line draws near it.
+    quiet = F.when(known, s["first"] - 1).otherwise(s["n"])
+    kept = F.pow(F.lit(_decay(9)), quiet)
+    before = F.when(begun, kept * state["signal"] + (1.0 - kept) * (state["ema_12"] - state["ema_26"]))
+    after = F.pow(F.lit(_decay(9)), s["n"] - quiet) * F.coalesce(before, F.lit(0.0))
+    signal = after + s["k_12"] * at[12] - s["k_26"] * at[26] + s["k"]
+    averages = [
+        F.when(known, s[f"gain_{n}"] * at[n] + s[f"end_{n}"]).otherwise(state[f"ema_{n}"]).alias(f"ema_{n}") for n in (12, 26)
+    ]
+    return F.struct(
+        (state["rows"] + s["n"]).alias("rows"), (state["nulls"] + s["nulls"]).alias("nulls"),
+        F.coalesce(state["first_date"], s["first_date"]).alias("first_date"), s["last_date"].alias("last_date"),
+        last_of(halo, HALO_ROWS).alias("halo"), F.coalesce(s["early"], _last_known(passed), state["older"]).alias("older"),
+        F.when(known, s["n"] - s["last"]).otherwise(state["gap"] + s["n"]).alias("gap"), *averages,
+        F.when(known, signal).otherwise(before).alias("signal"),
+    ).cast(STATE)
+
+
+def _last_known(rows: Column) -> Column:
+    closes = F.filter(F.transform(rows, lambda r: r["close"]), lambda c: c.isNotNull())
+    return F.try_element_at(closes, F.lit(-1))
+
+
+def _shares(gap: Column, span: int) -> tuple[Column, Column]:
+    """What a known value, ``gap`` rows after the last one, leaves of the average, and its own part."""
+    q, a = _decay(span), 1.0 - _decay(span)
+    faded = F.pow(F.lit(q), gap)
+    left = F.when(gap == 1, F.lit(q)).otherwise(faded / (faded + F.lit(a)))
+    return left, F.when(gap == 1, F.lit(a)).otherwise(F.lit(a) / (faded + F.lit(a)))
 
 
 def rolling(agg, value: Column, cut: Segmented, n: int) -> Column:
@@ -97,23 +217,33 @@ def change(filled: Column, cut: Segmented, periods: int) -> Column:
     return F.try_divide(filled, F.lag(filled, periods).over(cut.ordered)) - 1
 
 
+def features_of(blocks: DataFrame) -> DataFrame:
+    """All features of the rows of ``blocks``: ticker, ``_seg``, ``list`` and the ``carry`` they begin with."""
+    carried = [F.col(f"carry.{c}").alias(f"_{c}") for c in ("older", "gap", "ema_12", "ema_26", "signal")]
+    rows = blocks.select("ticker", "_seg", *carried, F.size("carry.halo").alias("_ahead"), F.col("carry.halo").alias("halo"), "list")
+    cut = Segmented(with_halo(rows), "ticker", "date")
+    return _add_features(cut).filter("_own").select("ticker", "date", *FEATURE_COLUMNS)
+
+
 def _add_features(cut: Segmented) -> DataFrame:
     w = cut.ordered
     upto_here = w.rowsBetween(Window.unboundedPreceding, 0)
     upto_previous = w.rowsBetween(Window.unboundedPreceding, -1)
     close, volume = F.col("close"), F.col("volume")
-    row = F.row_number().over(w)
 
     df = cut.df.withColumns(
         {
-            "_row": row,
+            # 1 for the block's first row; its halo has 0 and less.
+            "_row": F.row_number().over(w) - F.col("_ahead"),
             # Relative changes see the last known close; plain differences
             # (RSI) and rolling means see the gap.
-            "_filled": F.last(close, ignorenulls=True).over(upto_here),
+            "_filled": F.coalesce(F.last(close, ignorenulls=True).over(upto_here), "_older"),
             "_delta": close - F.lag(close).over(w),
+            "_known": F.when(F.col("_own"), close),
         }
     )
-    filled, delta = F.col("_filled"), F.col("_delta")
+    filled, delta, known = F.col("_filled"), F.col("_delta"), F.col("_known")
+    carried_gap = F.when(F.col("_ema_12").isNotNull(), -F.col("_gap"))
     df = df.withColumns(
         {
             "daily_return": change(filled, cut, 1),
@@ -130,11 +260,11 @@ def _add_features(cut: Segmented) -> DataFrame:
             "_loss": rolling(
                 F.avg, F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0))), cut, 14
             ),
-            "_known_row": F.last(F.when(close.isNotNull(), F.col("_row")), ignorenulls=True).over(
-                upto_previous
-            ),
+            # The row of the last known close before this one, if it is in the block.
+            "_prior": F.last(F.when(known.isNotNull(), F.col("_row")), ignorenulls=True).over(upto_previous),
         }
     )
+    df = df.withColumn("_since", F.col("_row") - F.coalesce("_prior", carried_gap))
     rs = F.try_divide(F.col("_gain"), F.nullif(F.col("_loss"), F.lit(0.0)))
     df = df.withColumns(
         {
@@ -144,55 +274,40 @@ def _add_features(cut: Segmented) -> DataFrame:
             "bb_lower": F.col("sma_20") - F.lit(2.0) * F.col("_std_20"),
             "bb_width": F.try_divide(F.lit(4.0) * F.col("_std_20"), F.col("sma_20")),
             "volume_ratio_20": F.try_divide(volume.cast("double"), F.col("volume_sma_20")),
-            "_decay_12": F.sum(_log_decay(close, 12)).over(upto_here),
-            "_decay_26": F.sum(_log_decay(close, 26)).over(upto_here),
+            "_decay_12": F.sum(_log_decay(12)).over(upto_here),
+            "_decay_26": F.sum(_log_decay(26)).over(upto_here),
         }
     )
-    df = df.withColumns({f"_at_{n}": _relative(F.col(f"_decay_{n}"), cut) for n in (12, 26)})
-    df = df.withColumns({f"ema_{n}": ema(close, n, upto_here, F.col(f"_at_{n}")) for n in (12, 26)})
+    df = df.withColumns({f"ema_{n}": ema(n, upto_here) for n in (12, 26)})
     df = df.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
     # Where macd has a value it has one on every later row: no gaps.
-    df = df.withColumn("_at_9", _relative(F.col("_row") * F.log(F.lit(_decay(9))), cut))
-    return df.withColumn("macd_signal", ema(F.col("macd"), 9, upto_here, F.col("_at_9"), gaps=False))
+    q = _decay(9)
+    faded = F.pow(F.lit(q), F.col("_row"))
+    taken = F.sum(F.when(F.col("_own"), F.lit(1.0 - q) * F.col("macd") / faded)).over(upto_here)
+    return df.withColumn("macd_signal", (taken + F.coalesce("_signal", F.lit(0.0))) * faded)
 
 
-def ema(value: Column, span: int, upto_here, at: Column, gaps: bool = True) -> Column:
-    """Exponential moving average as one running sum.
+def ema(span: int, upto_here) -> Column:
+    """Exponential moving average of the block's known closes as one running sum.
 
     The recurrence is ``y0 = x0``, ``y = (q^g * y_prev + a * x) / (q^g + a)`` with
     ``a = 2 / (span + 1)``, ``q = 1 - a`` and ``g`` the rows since the last known
-    value; a row without a value keeps the last ``y``. Unrolled, ``y`` is a sum of
-    inputs, each with its share and with what the rows after it left of it. ``at`` is
-    the logarithm of what all rows so far leave, relative to the middle of the
-    segment's own rows; an input counts ``exp(at here - at there)``.
-
-    Needs ``_row`` and ``_known_row`` (row of the last known value before this one).
-    Rows so far before the segment's own that their factor leaves the double range
-    have no value; nothing of them is left where the own rows begin. Without ``gaps``
-    every row after the first with a value has one.
+    value; a row without a value keeps the last ``y``. The block's first known close
+    makes a ``y`` with the average carried in; unrolled from there, ``y`` is a sum of
+    what is left of that and of each later input's share. ``_decay`` is the logarithm of
+    what the rows so far leave.
     """
-    a, previous = 1.0 - _decay(span), F.col("_known_row")
-    gap = F.col("_row") - previous if gaps else F.lit(1)
-    share = F.when(previous.isNull(), F.lit(1.0)).otherwise(
-        F.when(gap == 1, F.lit(a)).otherwise(F.lit(a) / (F.pow(F.lit(_decay(span)), gap) + F.lit(a)))
-    )
-    total = F.sum(share * value * F.exp(-at)).over(upto_here)
-    return F.when(at <= _LARGEST_EXPONENT, total * F.exp(at))
-
-
-def _log_decay(value: Column, span: int) -> Column:
-    """Logarithm of the share that a known value leaves of the average before it."""
-    q = _decay(span)
-    gap = F.col("_row") - F.col("_known_row")
-    left = F.when(gap == 1, F.lit(0.0)).otherwise(F.log(F.pow(F.lit(q), gap) + F.lit(1.0 - q)))
-    return F.when(value.isNotNull() & gap.isNotNull(), gap * F.log(F.lit(q)) - left).otherwise(F.lit(0.0))
+    carried, at = F.col(f"_ema_{span}"), F.col(f"_decay_{span}")
+    left, taken = _shares(F.col("_since"), span)
+    first = F.coalesce(carried * left + F.col("_known") * taken, "_known")
+    entered = F.when(F.col("_prior").isNull(), first).otherwise(F.col("_known") * taken)
+    return F.coalesce(F.sum(entered * F.exp(-at)).over(upto_here) * F.exp(at), carried)
 
 
-def _relative(exponent: Column, cut: Segmented) -> Column:
-    """``exponent`` less its middle over the segment's own rows."""
-    whole = cut.ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    own = F.when(F.col("_own"), exponent)
-    return exponent - (F.min(own).over(whole) + F.max(own).over(whole)) / F.lit(2.0)
+def _log_decay(span: int) -> Column:
+    """Logarithm of the share that a known value leaves of the one before it in the block."""
+    left, _ = _shares(F.col("_since"), span)
+    return F.when(F.col("_known").isNotNull() & F.col("_prior").isNotNull(), F.log(left)).otherwise(F.lit(0.0))
 
 
 def _decay(span: int) -> float:

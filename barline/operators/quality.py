@@ -120,10 +120,20 @@ def feature_checks(
     """Checks around the feature step; tickers short of history report nothing."""
     summary = (
         source_nulls(bars)
-        .filter(F.col("rows") >= min_rows)
         .join(feature_summary(features), "ticker", "left")
         .na.fill(0, ["feature_rows", "null_cells", "rsi_out_of_range", "negative_volatility"])
     )
+    return summary_checks(summary, min_rows=min_rows, max_null_ratio=max_null_ratio)
+
+
+def series_checks(series: DataFrame) -> DataFrame:
+    """The same checks from the table that holds a row per ticker; no history is read."""
+    counts = [F.col("state.rows").alias("rows"), F.col("state.nulls").alias("null_rows")]
+    return summary_checks(series.select("*", *counts))
+
+
+def summary_checks(summary: DataFrame, *, min_rows: int = 26, max_null_ratio: float = 0.01) -> DataFrame:
+    summary = summary.filter(F.col("rows") >= min_rows)
     ratio = F.col("null_rows") / F.col("rows")
     rows, cells = F.col("feature_rows"), F.col("null_cells")
     rsi, vol = F.col("rsi_out_of_range"), F.col("negative_volatility")

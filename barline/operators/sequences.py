@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barline.operators.series import SEGMENT_ROWS, own_rows, segment
+from barline.operators.series import BLOCK_DAYS, own_rows, segment
 from barline.schemas import FEATURE_COLUMNS
 
 # Window length, rows a model needs, held-out share.
@@ -64,12 +64,11 @@ def training_sequences(
     rows: int = SEQUENCE_ROWS,
     columns: list[str] = FEATURE_COLUMNS,
     *,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """``x`` = the ``rows`` rows before each row, ``y`` = the row's first column."""
     return _windows(
-        scaled_features, rows, columns, -rows, -1, max_rows, segment_rows, F.col(columns[0]).alias("y")
+        scaled_features, rows, columns, -rows, -1, block_days, F.col(columns[0]).alias("y")
     )
 
 
@@ -78,15 +77,14 @@ def prediction_windows(
     rows: int = SEQUENCE_ROWS,
     columns: list[str] = FEATURE_COLUMNS,
     *,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """``x`` = the last ``rows`` rows up to and including each row."""
-    return _windows(scaled_features, rows, columns, 1 - rows, 0, max_rows, segment_rows)
+    return _windows(scaled_features, rows, columns, 1 - rows, 0, block_days)
 
 
-def _windows(df, rows, columns, first, last, max_rows, segment_rows, *more: Column) -> DataFrame:
-    cut = segment(df, rows, max_rows=max_rows, segment_rows=segment_rows)
+def _windows(df, rows, columns, first, last, block_days, *more: Column) -> DataFrame:
+    cut = segment(df, rows, block_days=block_days)
     frame = cut.ordered.rowsBetween(first, last)
     step = F.array(*[F.col(c) for c in columns])
     with_x = cut.df.withColumn("x", F.collect_list(step).over(frame))
@@ -105,8 +103,7 @@ def chronological_split(
     holdout: float = HOLDOUT,
     *,
     lags: dict[str, tuple[str, int]] | None = None,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """Rows that end a training sequence, with ``sequence_no`` and ``is_train``.
 
@@ -115,7 +112,7 @@ def chronological_split(
     """
     lags = lags or {}
     back = max([rows] + [n for _, n in lags.values()])
-    cut = segment(features, back, max_rows=max_rows, segment_rows=segment_rows)
+    cut = segment(features, back, block_days=block_days)
     df = cut.df.withColumns(
         {
             "sequence_no": cut.position() - rows,

@@ -1,42 +1,35 @@
 """Windows over keyed series that never need a whole series in one task.
 
 A plain ``Window.partitionBy("ticker")`` sends each series to one task. Here a
-long series is cut into segments of whole months; every segment also gets the
-rows just before it (warm-up rows, ``_own = false``), enough for the longest
-look-back, so a window partitioned by ``(ticker, _seg)`` computes the same
-values as one over the whole ticker.
-
-Where the caller can prove that no series is longer than one segment, nothing
-is cut and the plan stays at one exchange. The proof comes from the key: one
-row per (ticker, day) means a series has at most as many rows as the table
-spans days, see :func:`calendar_bound`.
+series is cut into blocks of whole days. A series has one row per day, so a block
+holds at most ``block_days`` rows, whatever the series: no counting, no second
+plan for long ones. Rows move once, to their (ticker, block).
+
+What a block has to know of the rows before it is a small state: the last rows
+themselves (the halo), counts, averages so far. Each block is reduced to a summary,
+the summaries of a ticker are folded in order, and every block gets the state that
+the ones before it leave: a prefix scan on two levels, over rows within blocks and
+over blocks within tickers. A state after the last block is also all that is needed
+to go on when new rows come.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SEGMENT_ROWS = 4096
-
-
-def calendar_bound(df: DataFrame, date: str = "date") -> int:
-    """Days between the first and last date: the most rows one series can have.
-
-    One column is read and reduced to two values, without a shuffle by key.
-    """
-    lo, hi = df.agg(F.min(F.to_date(date)), F.max(F.to_date(date))).first()
-    return 0 if lo is None else (hi - lo).days + 1
+#: Days in a block, and so the most rows it can have.
+BLOCK_DAYS = 2048
 
 
 @dataclass(frozen=True)
 class Segmented:
-    """Rows with ``_seg``, ``_own``, ``_before`` and the window to use on them.
+    """Rows with ``_seg``, ``_own``, ``_before``, ``_rows`` and the window to use on them.
 
-    ``_before`` counts the ticker's rows ahead of the segment's first row, and
-    ``_rows``/``_valid`` are ticker totals, NULL where the ticker is uncut (the
-    segment then holds all its rows).
+    ``_before`` counts the ticker's rows ahead of the block's first row (its halo
+    included), ``_rows`` all rows of the ticker.
     """
 
     df: DataFrame
@@ -47,11 +40,6 @@ class Segmented:
     def ordered(self):
         return Window.partitionBy(self.key, "_seg").orderBy(self.order)
 
-    @property
-    def whole(self):
-        # Ordered although a total needs no order: one specification, one sort.
-        return self.ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
     def last_rows(self, n: int):
         """Frame of the current row and the ``n - 1`` before it."""
         return self.ordered.rowsBetween(-(n - 1), 0)
@@ -62,108 +50,78 @@ class Segmented:
 
     def length(self) -> Column:
         """Rows of the whole series."""
-        return F.coalesce("_rows", F.count(F.lit(1)).over(self.whole))
+        return F.col("_rows")
+
 
-    def valid(self, valid: Column) -> Column:
-        """Valid rows of the whole series (``valid`` as given to ``segment``)."""
-        return F.coalesce("_valid", F.count_if(valid).over(self.whole))
+def packed(df: DataFrame, *, key: str = "ticker", order: str = "date", block_days: int = BLOCK_DAYS) -> DataFrame:
+    """One row per (key, ``_seg``): ``list``, its rows as structs, by ``order``."""
+    block = F.floor(F.unix_date(F.to_date(order)) / F.lit(block_days)).cast("int")
+    rows = F.struct(order, *(c for c in df.columns if c not in (key, order)))
+    blocks = df.select(key, block.alias("_seg"), rows.alias("row")).repartition(key, "_seg")
+    return blocks.groupBy(key, "_seg").agg(F.sort_array(F.collect_list("row")).alias("list"))
 
-    def with_df(self, df: DataFrame) -> "Segmented":
-        return Segmented(df, self.key, self.order)
 
+def last_of(rows: Column, n: int) -> Column:
+    """The last ``n`` elements, or all."""
+    return F.slice(rows, F.greatest(F.size(rows) - F.lit(n), F.lit(0)) + 1, F.lit(n))
 
-def segment(
-    df: DataFrame,
-    lookback: int,
+
+def scanned(
+    blocks: DataFrame,
+    summary: Column,
+    zero: Column,
+    step: Callable[[Column, Column], Column],
     *,
     key: str = "ticker",
-    order: str = "date",
-    valid: Column | None = None,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
-) -> Segmented:
-    """Cut long series into segments with ``lookback`` warm-up rows.
-
-    ``valid`` marks the rows that count as look-back (default all): with it the
-    warm-up holds that many *valid* rows. ``max_rows`` is a proven bound on the
-    rows of one series.
+    start: DataFrame | None = None,
+) -> DataFrame:
+    """Per (key, ``_seg``): ``carry``, the state that the blocks before it leave, and ``total``, that of all.
+
+    ``step`` takes a state and a summary to the next state; ``start`` (key, ``state``) is
+    where a key begins, else at ``zero``. What meets in one task are a key's
+    summaries, one per block.
     """
-    valid = F.lit(True) if valid is None else valid
-    if max_rows is not None and max_rows <= segment_rows:
-        whole = df.withColumns(
-            {
-                "_seg": F.lit(0),
-                "_own": F.lit(True),
-                "_before": F.lit(0).cast("bigint"),
-                "_rows": F.lit(None).cast("bigint"),
-                "_valid": F.lit(None).cast("bigint"),
-            }
-        )
-        return Segmented(whole, key, order)
-
-    month = F.trunc(F.to_date(order), "MM")
-    plan = _segment_months(df, key, month, lookback, valid, segment_rows)
-    # Only series longer than a segment appear in `plan`. AQE broadcasts it when
-    # it turns out small and otherwise joins by (key, month), so one long series
-    # is spread over its months.
-    cut = (
-        df.withColumn("_month", month)
-        .join(plan, [key, "_month"], "left")
-        .withColumns(
-            {
-                "_seg": F.coalesce("_seg", F.lit(0)),
-                "_own": F.coalesce("_own", F.lit(True)),
-                "_before": F.coalesce("_before", F.lit(0).cast("bigint")),
-            }
-        )
-        .drop("_month")
-    )
-    return Segmented(cut, key, order)
-
-
-def _segment_months(df, key, month, lookback, valid, segment_rows) -> DataFrame:
-    """(key, month) -> the segments that need this month's rows."""
-    months = df.groupBy(key, month.alias("_month")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(valid).alias("v")
-    )
-    by_month = Window.partitionBy(key).orderBy("_month")
-    so_far = by_month.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(key)
-    months = (
-        months.withColumns(
-            {
-                "before": F.sum("n").over(so_far) - F.col("n"),
-                "v_upto": F.sum("v").over(so_far),
-                "_rows": F.sum("n").over(whole),
-                "_valid": F.sum("v").over(whole),
-            }
-        )
-        .filter(F.col("_rows") > segment_rows)
-        .withColumn("seg", F.floor(F.col("before") / F.lit(segment_rows)).cast("int"))
-        .withColumn("next_seg", F.lead("seg").over(by_month))
-    )
-    # A month is warm-up for a later segment as long as fewer than `lookback`
-    # valid rows lie between the two. Segment starts move monotonically, so the
-    # furthest such segment is a maximum over a range frame.
-    near = Window.partitionBy(key).orderBy("v_upto").rangeBetween(0, lookback - 1)
-    months = months.withColumn(
-        "last_seg", F.greatest("seg", F.max("next_seg").over(near))
-    )
-    plan = months.select(
-        key, "_month", "_rows", "_valid", "before", "seg",
-        F.explode(F.sequence("seg", "last_seg")).alias("_seg"),
-    )
-    return plan.select(
-        key,
-        "_month",
-        "_rows",
-        "_valid",
-        "_seg",
-        (F.col("_seg") == F.col("seg")).alias("_own"),
-        F.min("before").over(Window.partitionBy(key, "_seg")).alias("_before"),
-    )
+    listed = blocks.select(key, F.struct("_seg", summary.alias("s")).alias("b")).groupBy(key)
+    listed = listed.agg(F.sort_array(F.collect_list("b")).alias("blocks"))
+    if start is not None:
+        listed = listed.join(start.select(key, "state"), key, "left")
+        zero = F.coalesce("state", zero)
+    out = F.struct(F.lit(0).alias("_seg"), zero.alias("carry"))
+    begin = F.struct(zero.alias("state"), F.slice(F.array(out), 1, 0).alias("out"))
+
+    def folded(acc: Column, b: Column) -> Column:
+        before = F.array(F.struct(b["_seg"].alias("_seg"), acc["state"].alias("carry")))
+        return F.struct(step(acc["state"], b["s"]).alias("state"), F.concat(acc["out"], before).alias("out"))
+
+    folds = listed.select(key, F.aggregate("blocks", begin, folded).alias("f"))
+    return folds.select(key, F.col("f.state").alias("total"), F.inline("f.out"))
+
+
+def with_halo(blocks: DataFrame, *, key: str = "ticker") -> DataFrame:
+    """Rows of ``blocks`` (``list``) after those of their ``halo``, for which ``_own`` is false."""
+    size = F.size("halo")
+    rows = F.transform(F.concat("halo", "list"), lambda r, i: F.struct((i >= size).alias("_own"), r.alias("row")))
+    kept = [c for c in blocks.columns if c not in ("list", "halo")]
+    return blocks.select(*kept, F.inline(rows)).select(*kept, "_own", "row.*")
+
+
+def segment(df: DataFrame, lookback: int, *, key: str = "ticker", order: str = "date", block_days: int = BLOCK_DAYS) -> Segmented:
+    """``df`` in blocks, each with the ``lookback`` rows before it; one row per key and day."""
+    blocks = packed(df, key=key, order=order, block_days=block_days)
+    rows = blocks.schema["list"].dataType.simpleString()
+    state = f"struct<rows: bigint, halo: {rows}>"
+    summary = F.struct(F.size("list").cast("bigint").alias("n"), last_of(F.col("list"), lookback).alias("tail"))
+    zero = F.struct(F.lit(0).alias("rows"), F.array().alias("halo")).cast(state)
+
+    def step(before: Column, s: Column) -> Column:
+        halo = last_of(F.concat(before["halo"], s["tail"]), lookback)
+        return F.struct((before["rows"] + s["n"]).alias("rows"), halo.alias("halo")).cast(state)
+
+    met = blocks.join(scanned(blocks, summary, zero, step, key=key), [key, "_seg"])
+    counts = [(F.col("carry.rows") - F.size("carry.halo")).alias("_before"), F.col("total.rows").alias("_rows")]
+    return Segmented(with_halo(met.select(key, "_seg", *counts, F.col("carry.halo").alias("halo"), "list"), key=key), key, order)
 
 
 def own_rows(df: DataFrame) -> DataFrame:
-    """Drop warm-up rows and the helper columns."""
-    return df.filter("_own").drop("_seg", "_own", "_before", "_rows", "_valid")
+    """Drop the halo rows and the helper columns."""
+    return df.filter("_own").drop("_seg", "_own", "_before", "_rows")

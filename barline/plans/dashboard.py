@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from barline.functions.rounding import round_half_away, round_half_up
-from barline.operators.series import SEGMENT_ROWS, own_rows, segment
+from barline.operators.series import BLOCK_DAYS, own_rows, segment
 
 # Jobs the reliability chart lists, chart limits.
 DASHBOARD_JOBS = [
@@ -34,8 +34,7 @@ def directional_accuracy(
     predictions: DataFrame,
     rows: int = 7,
     *,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """Share of right directions over the last ``rows`` predictions.
 
@@ -45,7 +44,7 @@ def directional_accuracy(
     """
     cut = segment(
         predictions.select("ticker", F.col("predicted_date").alias("ds"), "predicted_close", "actual_close"),
-        rows + 1, order="ds", max_rows=max_rows, segment_rows=segment_rows,
+        rows + 1, order="ds", block_days=block_days,
     )
     df = cut.df.withColumn("_previous", F.lag("actual_close").over(cut.ordered))
     previous, actual = F.col("_previous"), F.col("actual_close")

@@ -8,7 +8,7 @@ from barline.functions.calendar import business_day_sequence, next_trading_day
 from barline.operators.forecast import linear_prediction
 from barline.operators.merge import fill_from
 from barline.operators.sequences import SEQUENCE_ROWS
-from barline.operators.series import SEGMENT_ROWS, own_rows, segment
+from barline.operators.series import BLOCK_DAYS, own_rows, segment
 
 # Fixed value: rows that count as the recent window.
 RECENT_ROWS = 14
@@ -20,8 +20,7 @@ def prediction_gaps(
     prices: DataFrame,
     recent_rows: int = RECENT_ROWS,
     *,
-    max_rows: int | None = None,
-    segment_rows: int = SEGMENT_ROWS,
+    block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """Windows whose prediction or actual is missing.
 
@@ -32,7 +31,7 @@ def prediction_gaps(
     the same date (Friday's, Saturday's and Sunday's) the latest counts. Joins are
     on (ticker, date) pairs, so no single key is large.
     """
-    cut = segment(features, 1, max_rows=max_rows, segment_rows=segment_rows)
+    cut = segment(features, 1, block_days=block_days)
     windows = own_rows(
         cut.df.withColumns({"_position": cut.position(), "_length": cut.length()})
     ).filter(F.col("_position") >= SEQUENCE_ROWS)

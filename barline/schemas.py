@@ -53,7 +53,31 @@ QUALITY_RESULTS = _struct(
     " details string, created_at timestamp"
 )
 
+_BAR = _struct("date date, close double, volume bigint")
+# What a ticker's bars so far leave for the next ones: counts, days, its last bars, the last
+# known close before those, rows since the last known close, and the averages.
+SERIES_STATE = T.StructType(
+    [
+        *_struct("rows bigint, nulls bigint, first_date date, last_date date").fields,
+        T.StructField("halo", T.ArrayType(_BAR)),
+        *_struct("older double, gap bigint, ema_12 double, ema_26 double, signal double").fields,
+    ]
+)
+# One row per ticker, kept up to date by every load: the state, and what the gates and the
+# forecasts ask of its features.
+SERIES = T.StructType(
+    [
+        T.StructField("ticker", T.StringType()),
+        T.StructField("state", SERIES_STATE),
+        *_struct(
+            "feature_rows bigint, null_cells bigint, rsi_out_of_range bigint, negative_volatility bigint,"
+            " feature_last date, feature_close double"
+        ).fields,
+    ]
+)
+
 KEYS = {
+    "series": ["ticker"],
     "prices": ["ticker", "date"],
     "raw_prices": ["ticker", "source_date_key", "run_id"],
     "features": ["ticker", "date"],

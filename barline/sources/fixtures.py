@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from barline.operators.series import calendar_bound
-
 AS_OF = "2001-11-05"
 STORED_BEFORE = "2000-01-01"
 
@@ -17,11 +15,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def max_bars(spark: SparkSession, folder: str) -> int:
-    """Most bars a ticker can have: `bars` holds one per ticker and day."""
-    return calendar_bound(table(spark, folder, "lineitem"), "l_shipdate")
-
-
 def bars(spark: SparkSession, folder: str) -> DataFrame:
     """One OHLCV bar per (supplier, ship date).
 
@@ -135,10 +128,6 @@ def stored_prices(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def weekday_bars(spark: SparkSession, folder: str) -> DataFrame:
-    return bars(spark, folder).filter(F.weekday("date") < 5)
-
-
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     state = F.when(F.col("user_id") % 10 == 0, "failed").when(F.col("user_id") % 10 == 1, "running")
     return table(spark, folder, "events").select(

@@ -41,8 +41,8 @@ class KeyedTable:
     path: str
     schema: T.StructType
     keys: list[str]
-    period_of: str  # date column that names the partition
-    grain: str = "yyyy-MM"  # its date format
+    period_of: str  # column that names the partition
+    grain: str = "yyyy-MM"  # its date format, or "hash <n>" for n parts by the column's hash
 
     def read(self, spark: SparkSession, periods: list[str] | None = None) -> DataFrame:
         """The table, or only some of its periods (pruned before the scan)."""
@@ -63,8 +63,7 @@ class KeyedTable:
         """
         spark = source.sparkSession
         self.recover(spark)
-        # One value per touched calendar period.
-        periods = [r[0] for r in source.select(self._period()).distinct().collect()]
+        periods = self.periods(source)
         if not periods:
             return
         merged = combine(self.read(spark, periods), source, self.keys)
@@ -95,7 +94,14 @@ class KeyedTable:
         rows = df.withColumn(PERIOD, self._period()).hint("rebalance", PERIOD)
         rows.write.mode("overwrite").partitionBy(PERIOD).parquet(path)
 
+    def periods(self, dates: DataFrame) -> list[str]:
+        """The periods of the rows of ``dates``, which has the column that names them: one value per period."""
+        return [r[0] for r in dates.select(self._period()).distinct().collect()]
+
     def _period(self):
+        if self.grain.startswith("hash "):
+            part = F.pmod(F.xxhash64(self.period_of), F.lit(int(self.grain[5:])))
+            return F.format_string("part-%04d", part)
         return F.coalesce(F.date_format(self.period_of, self.grain), F.lit("none"))
 
     def _stored_schema(self) -> T.StructType:

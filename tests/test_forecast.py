@@ -45,23 +45,23 @@ def test_constant_column_scales_to_zero(spark):
     assert {r["close"] for r in sequences.minmax_scale(df, columns=["close"]).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("segment_rows", [4096, 60])
-def test_windows(spark, features, segment_rows):
+@pytest.mark.parametrize("block_days", [2048, 60])
+def test_windows(spark, features, block_days):
     scaled = sequences.minmax_scale(features)
     _, want, _, _ = matrix(features, "A")
-    train = sequences.training_sequences(scaled, segment_rows=segment_rows).filter("ticker = 'A'").toPandas().sort_values("date")
+    train = sequences.training_sequences(scaled, block_days=block_days).filter("ticker = 'A'").toPandas().sort_values("date")
     assert len(train) == len(want) - 30
     x = np.array([np.stack(w) for w in train["x"]])
     np.testing.assert_allclose(x, np.stack([want[i - 30 : i] for i in range(30, len(want))]), atol=1e-12)
     np.testing.assert_allclose(train["y"], want[30:, 0], atol=1e-12)
-    last = sequences.prediction_windows(scaled, segment_rows=segment_rows).filter("ticker = 'A'").toPandas().sort_values("date")
+    last = sequences.prediction_windows(scaled, block_days=block_days).filter("ticker = 'A'").toPandas().sort_values("date")
     x = np.array([np.stack(w) for w in last["x"]])
     np.testing.assert_allclose(x, np.stack([want[i - 29 : i + 1] for i in range(29, len(want))]), atol=1e-12)
 
 
-@pytest.mark.parametrize("segment_rows", [4096, 60])
-def test_chronological_split(features, segment_rows):
-    split = sequences.chronological_split(features.select("ticker", "date"), segment_rows=segment_rows)
+@pytest.mark.parametrize("block_days", [2048, 60])
+def test_chronological_split(features, block_days):
+    split = sequences.chronological_split(features.select("ticker", "date"), block_days=block_days)
     rows = {r["ticker"]: r for r in split.groupBy("ticker").agg(
         F.count("*").alias("n"), F.count_if("is_train").alias("train"), F.max("sequence_no").alias("last"),
         F.max(F.when(F.col("is_train"), F.col("date"))).alias("train_end"),
@@ -127,8 +127,8 @@ def test_latest_rows_limit_before_the_shuffle(features):
     assert {r["ticker"] for r in sequences.short_keys(features, 40).collect()} == {"C"}
 
 
-@pytest.mark.parametrize("segment_rows", [4096, 60])
-def test_maintenance(spark, features, segment_rows):
+@pytest.mark.parametrize("block_days", [2048, 60])
+def test_maintenance(spark, features, block_days):
     weekday = features.filter("weekday(date) < 5 AND ticker <> 'C'")
     all_days = sorted(r[0] for r in weekday.filter("ticker = 'B'").select("date").collect())
 
@@ -142,7 +142,7 @@ def test_maintenance(spark, features, segment_rows):
         [("B", done, 1.0, 2.0, "v"), ("B", no_actual, 1.0, None, "v"), ("B", no_prediction, None, None, "v")],
         "ticker string, predicted_date date, predicted_close double, actual_close double, model_version string",
     )
-    gaps = maintenance.prediction_gaps(weekday, stored, weekday, segment_rows=segment_rows).filter("ticker = 'B'")
+    gaps = maintenance.prediction_gaps(weekday, stored, weekday, block_days=block_days).filter("ticker = 'B'")
     by = {r["predicted_date"]: r for r in gaps.collect()}
     assert len(by) == len(ends) - 1 and done not in by
     assert by[no_actual]["action"] == "actual" and by[no_prediction]["action"] == "gap"
@@ -160,8 +160,8 @@ def test_maintenance(spark, features, segment_rows):
     assert none["mae_price"] is None and none["rmse_price"] is None
 
 
-@pytest.mark.parametrize("segment_rows", [4096, 5])
-def test_directional_accuracy(spark, segment_rows):
+@pytest.mark.parametrize("block_days", [2048, 5])
+def test_directional_accuracy(spark, block_days):
     rows = [
         ("A", dt.date(2024, 1, 1) + dt.timedelta(days=20 * i), p, a)
         for i, (p, a) in enumerate([(1, 10), (11, 12), (13, 11), (9, None), (1, 10), (None, 11), (12, 12), (5, 6), (7, 7)])
@@ -170,7 +170,7 @@ def test_directional_accuracy(spark, segment_rows):
         [(t, d, None if p is None else float(p), None if a is None else float(a)) for t, d, p, a in rows],
         "ticker string, predicted_date date, predicted_close double, actual_close double",
     )
-    got = [r[2] for r in dashboard.directional_accuracy(df, segment_rows=segment_rows).collect()]
+    got = [r[2] for r in dashboard.directional_accuracy(df, block_days=block_days).collect()]
     hits = [None, 1, 0, None, None, 0, 1, 1, 1]
     want = []
     for i in range(len(hits)):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from barline.operators.validate import RunContext
 from barline.plans import jobs
 from barline.session import scratch_folder
 from barline.sources import payload
+from barline.sources.tables import KeyedTable
 from barline.streaming.features import stream_features
 from barline.streaming.ingest import ingest_stream, read_documents
 from tests.test_indicators import assert_same, frame, got, series, walk
@@ -71,6 +73,31 @@ def test_daily_equals_full_load_and_rerun_changes_nothing(spark, store):
     assert log.filter("status = 'fail'").count() == 0
 
 
+def test_a_new_day_reads_no_history(spark, monkeypatch):
+    """A load after the last stored day reads the periods it writes, and of the rest one row per ticker."""
+    store = jobs.Store(scratch_folder(spark, "test-new-day"))
+    jobs.ingest_backfill(spark, store, docs(spark, 0, 120), RunContext("run-1", "load", "backfill"))
+    reads, read = [], KeyedTable.read
+
+    def noted(table, session, periods=None):
+        reads.append((table.path.rsplit("/", 1)[1], periods))
+        return read(table, session, periods)
+
+    monkeypatch.setattr(KeyedTable, "read", noted)
+    as_of = F.lit(str(DAYS[129])).cast("date")
+    jobs.ingest_daily(spark, store, docs(spark, 120, 130), as_of, RunContext("run-2", "load", "daily"))
+    touched = sorted({str(d)[:7] for d in DAYS[120:130]})
+    assert {name for name, periods in reads if periods is None} == {"series"}
+    assert all(set(periods) <= set(touched) for name, periods in reads if name in ("prices", "raw_prices", "features"))
+    monkeypatch.undo()
+    assert_same(got(store.features.read(spark)), got(stock_features(store.prices.read(spark))))
+    row = {r.ticker: r for r in store.series.read(spark).collect()}["A"]
+    assert (row.state.rows, row.state.last_date, row.feature_last) == (130, DAYS[129], DAYS[129])
+    assert row.feature_rows == store.features.read(spark).filter("ticker = 'A'").count()
+    plan = store.features.read(spark, touched)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*period#", plan)
+
+
 def test_train_predict_maintain(spark, store):
     at = F.lit("2024-07-01 06:00:00").cast("timestamp")
     jobs.train(spark, store, at)

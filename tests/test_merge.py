@@ -123,7 +123,7 @@ def test_interrupted_replacement_is_finished_by_the_next_merge(spark):
 
 
 def test_table_without_newer_columns_reads(spark):
-    path = scratch_folder(spark, "test-old")
+    path = f'{scratch_folder(spark, "test-old")}/t'
     old = spark.createDataFrame([("A", dt.date(2024, 1, 5), 1.0)], "ticker string, date date, close double")
     old.withColumn("period", F.lit("2024-01")).write.partitionBy("period").parquet(path)
     read = KeyedTable(path, schemas.FEATURES, schemas.KEYS["features"], "date").read(spark)
