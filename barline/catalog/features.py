@@ -138,7 +138,7 @@ def _checks(spark, folder, *names):
     bars = gappy_bars(spark, folder)
     table = stock_features(bars)
     found = quality.feature_checks(bars, table)
-    return found.filter(F.col("check_name").isin(*names)).drop("details")
+    return found.filter(F.col("check_name").isin(*names))
 
 
 def gappy_bars(spark, folder):
@@ -172,27 +172,35 @@ _GAPPY_FEATURES = {
 }
 
 
-def _check_row(name, passed, observed, threshold, failed) -> str:
+def _check_row(name, passed, observed, threshold, failed, details="'{}'") -> str:
     return (
         f"'{name}' AS check_name, CASE WHEN {passed} THEN 'pass' ELSE 'fail' END AS status,"
         f" CAST({observed} AS DOUBLE) AS observed_value, CAST({threshold} AS DOUBLE) AS threshold,"
-        f" CAST({failed} AS INTEGER) AS failed_count"
+        f" CAST({failed} AS INTEGER) AS failed_count, {details} AS details"
     )
 
 
+def _told(**fields: str) -> str:
+    """A JSON text of SQL expressions."""
+    return f"CAST(json_object({', '.join(f"'{k}', {v}" for k, v in fields.items())}) AS VARCHAR)"
+
+
 @query(
     "source_null_ratio",
     sql(
         "SELECT ticker, check_name, status, " + rnd("observed_value", 6) + " AS observed_value,"
-        " threshold, failed_count FROM (SELECT ticker, "
-        + _check_row("source_base_null_ratio", "null_rows / rows <= 0.01", "null_rows / rows", "0.01", "null_rows")
+        " threshold, failed_count, details FROM (SELECT ticker, "
+        + _check_row(
+            "source_base_null_ratio", "null_rows / rows <= 0.01", "null_rows / rows", "0.01", "null_rows",
+            _told(rows="rows", null_rows="null_rows"),
+        )
         + " FROM nulls)",
         "bars",
         extra=_GAPPY,
     ),
 )
 def source_null_ratio(spark, folder):
-    found = quality.source_null_check(gappy_bars(spark, folder)).drop("details")
+    found = quality.source_null_check(gappy_bars(spark, folder))
     return rounded(found, {"observed_value": 6})
 
 
@@ -203,6 +211,10 @@ def source_null_ratio(spark, folder):
         + _check_row(
             "feature_rows_after_dropna", "feature_rows > 0", "feature_rows", "NULL",
             "CASE WHEN feature_rows > 0 THEN 0 ELSE 1 END",
+            _told(
+                message=f"CASE WHEN feature_rows > 0 THEN '{quality.MESSAGES['feature_rows']}'"
+                f" ELSE '{quality.MESSAGES['no_feature_rows']}' END"
+            ),
         )
         + " FROM per_ticker",
         "indicators",
@@ -213,10 +225,31 @@ def dq_feature_rows(spark, folder):
     return _checks(spark, folder, "feature_rows_after_dropna")
 
 
+@query(
+    "dq_feature_null_cells",
+    sql(
+        "SELECT ticker, "
+        + _check_row(
+            "feature_null_cells", "null_cells = 0", "null_cells", "0", "null_cells",
+            _told(feature_columns=f"{FEATURE_COLUMNS}"),
+        )
+        + " FROM (SELECT i.ticker, "
+        + "sum(" + " + ".join(f"CAST(i.{c} IS NULL AS INTEGER)" for c in FEATURE_COLUMNS) + ") AS null_cells"
+        + " FROM kept i GROUP BY i.ticker)",
+        "indicators",
+        extra=_GAPPY_FEATURES,
+    ),
+)
+def dq_feature_null_cells(spark, folder):
+    return _checks(spark, folder, "feature_null_cells")
+
+
 @query(
     "dq_rsi_range",
     sql(
-        "SELECT ticker, " + _check_row("rsi_range_check", "bad_rsi = 0", "bad_rsi", "0", "bad_rsi")
+        "SELECT ticker, " + _check_row(
+            "rsi_range_check", "bad_rsi = 0", "bad_rsi", "0", "bad_rsi", _told(expected_range="'[0, 100]'")
+        )
         + " FROM per_ticker WHERE feature_rows > 0",
         "indicators",
         extra=_GAPPY_FEATURES,
@@ -230,7 +263,9 @@ def dq_rsi_range(spark, folder):
     "dq_volatility",
     sql(
         "SELECT ticker, "
-        + _check_row("volatility_non_negative", "bad_vol = 0", "bad_vol", "0", "bad_vol")
+        + _check_row(
+            "volatility_non_negative", "bad_vol = 0", "bad_vol", "0", "bad_vol", _told(column="'volatility_14'")
+        )
         + " FROM per_ticker WHERE feature_rows > 0 AND bad_rsi = 0",
         "indicators",
         extra=_GAPPY_FEATURES,
@@ -243,7 +278,10 @@ def dq_volatility(spark, folder):
 @query(
     "dq_feature_upserts",
     sql(
-        "SELECT ticker, " + _check_row("feature_rows_upserted", "true", "feature_rows", "NULL", "0")
+        "SELECT ticker, " + _check_row(
+            "feature_rows_upserted", "true", "feature_rows", "NULL", "0",
+            _told(message=f"'{quality.MESSAGES['feature_rows_upserted']}'"),
+        )
         + " FROM per_ticker WHERE feature_rows > 0 AND bad_rsi = 0 AND bad_vol = 0",
         "indicators",
         extra=_GAPPY_FEATURES,
@@ -257,9 +295,17 @@ def dq_feature_upserts(spark, folder):
     "dq_feature_exceptions",
     sql(
         "SELECT ticker, "
-        + _check_row("feature_engineering_exception", "false", "NULL", "NULL", "1")
+        + _check_row(
+            "feature_engineering_exception", "false", "NULL", "NULL", "1", _told(error="'source null ratio too high'")
+        )
         + " FROM nulls WHERE null_rows / rows > 0.01 UNION ALL SELECT ticker, "
-        + _check_row("feature_engineering_exception", "false", "NULL", "NULL", "1")
+        + _check_row(
+            "feature_engineering_exception", "false", "NULL", "NULL", "1",
+            _told(
+                error="CASE WHEN feature_rows = 0 THEN 'no feature rows after dropping incomplete ones'"
+                " WHEN bad_rsi > 0 THEN 'rsi out of range' ELSE 'negative volatility' END"
+            ),
+        )
         + " FROM per_ticker WHERE feature_rows = 0 OR bad_rsi > 0 OR bad_vol > 0",
         "indicators",
         extra=_GAPPY_FEATURES,

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from barline.catalog.registry import query, rounded
 from barline.catalog.views import rnd, sql
 from barline.functions.calendar import business_days, next_trading_day
+from barline.operators.quality import MESSAGES
 from barline.operators.sequences import latest_rows, short_keys
 from barline.operators.validate import RunContext, raw_observations, reject_counts, validate_rows
 from barline.plans import ingest
 from barline.plans.maintenance import missing_business_days
-from barline.sources import fixtures
+from barline.sources import fixtures, payload
 from barline.sources.payload import explode_series, gate, parse
 from barline.sources.tables import stage
 from barline.sources.tickers import inline_tickers, one_ticker, only_tickers, ticker_list
@@ -61,6 +62,43 @@ def payload_parse(spark, folder):
     )
 
 
+# One JSON value of each kind, and whether it is a message: a text is one unless it is empty.
+_VALUES = ['"0"', "0", '"false"', "false", "true", "null", '""', "{}", "[]", "[0]", "1.5", "0.0", '{"a":1}', '"{}"']
+
+
+@query(
+    "payload_messages",
+    sql(
+        f"""SELECT ticker, CASE WHEN v IN ('0', 'false', 'null', '""', '{{}}', '[]', '0.0') THEN 'ok'
+              WHEN key % 2 = 0 THEN 'api_error' ELSE 'rate_limit' END AS payload_status
+        FROM (SELECT DISTINCT ticker, key, list_extract({_VALUES}, (key % {len(_VALUES)} + 1)::INT) AS v FROM bars)""",
+        "bars",
+    ),
+)
+def payload_messages(spark, folder):
+    """Every ticker's last bar as a document with a message of some JSON kind."""
+    last = fixtures.bars(spark, folder).groupBy("ticker", "key").agg(F.max("date").alias("date"), F.max_by("close", "date").alias("close"))
+    value = F.element_at(F.array(*[F.lit(v) for v in _VALUES]), (F.col("key") % len(_VALUES) + 1).cast("int"))
+    name = F.when(F.col("key") % 2 == 0, payload.ERROR).otherwise(payload.NOTICE)
+    parts = ['{"', name, '":', value, f',"{payload.SERIES}":{{"', F.col("date").cast("string"), '":{"4. close":"', F.col("close"), '"}}}']
+    doc = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    return payload.gate(payload.parse(last.select("ticker", doc.alias("doc")))).select("ticker", "payload_status")
+
+
+@query(
+    "payload_quarantine",
+    sql(
+        """SELECT ticker, payload_status, CASE payload_status WHEN 'api_error' THEN '{"Error Message":"bad symbol"}'
+              WHEN 'rate_limit' THEN '{"Note":"limit"}' WHEN 'non_json' THEN 'not json' WHEN 'not_object' THEN '[1]'
+              ELSE '{"Time Series (Daily)":{}}' END AS doc FROM documents_status WHERE payload_status <> 'ok'""",
+        "documents_status",
+    ),
+)
+def payload_quarantine(spark, folder):
+    """The documents that a load keeps whole because no row can be taken from them."""
+    return ingest.backfill(fixtures.payload_docs(spark, folder)).refused.select("ticker", "payload_status", "doc")
+
+
 @query("payload_explode", sql("SELECT ticker, key, source_date_key, row_json FROM entries", "entries"))
 def payload_explode(spark, folder):
     return explode_series(_parsed(spark, folder))
@@ -253,6 +291,12 @@ def missing_days(spark, folder):
 # fails nearly every ticker; a lower one lets later checks show as well.
 MIN_COMPLETENESS = 0.28
 
+def _reasons(rows: str) -> str:
+    """Counts of rejected rows by reason, as JSON, in the rules' order."""
+    return f"""SELECT ticker, '{{' || string_agg('"' || reason || '":' || n, ',' ORDER BY list_position({ingest.REASONS}, reason)) || '}}' AS listed
+        FROM (SELECT ticker, reject_reason AS reason, count(*) AS n FROM {rows} GROUP BY ticker, reject_reason) GROUP BY ticker"""
+
+
 _DAILY = {
     "j": f"""SELECT v.*, m.last_date, v.trade_date > m.last_date AS is_new,
         (v.trade_date IS NULL OR (v.trade_date > m.last_date AND NOT v.is_valid)) AS bad
@@ -262,6 +306,7 @@ _DAILY = {
         count(DISTINCT CASE WHEN is_new THEN trade_date END) AS available,
         count(*) FILTER (is_new) AS raw_rows, count(*) FILTER (is_new AND is_valid) AS valid_rows,
         count(*) FILTER (bad) AS rejected_rows FROM j GROUP BY ticker, last_date""",
+    "reasons": _reasons("j WHERE bad"),
     "days": """SELECT ticker, count(*) FILTER (isodow(d) < 6) AS expected FROM (
         SELECT ticker, unnest(generate_series(last_date + 1, latest, INTERVAL 1 DAY)) AS d
         FROM agg WHERE latest > last_date) GROUP BY ticker""",
@@ -271,8 +316,8 @@ _DAILY = {
         staleness <= 5 AS fresh,
         staleness <= 5 AND coalesce(completeness >= {MIN_COMPLETENESS}, true) AS complete,
         NOT (rejected_rows > 0 AND valid_rows = 0) AS some_valid,
-        coalesce(rejected_rows / nullif(candidates, 0) <= 0.20, true) AS few_rejects
-        FROM agg a LEFT JOIN days d USING (ticker)""",
+        coalesce(rejected_rows / nullif(candidates, 0) <= 0.20, true) AS few_rejects, coalesce(r.listed, '{{}}') AS reasons
+        FROM agg a LEFT JOIN days d USING (ticker) LEFT JOIN reasons r USING (ticker)""",
 }
 
 
@@ -283,33 +328,48 @@ def _daily(spark, folder, **options):
     )
 
 
-def _row(name, passed, observed, threshold, failed) -> str:
+def _row(name, passed, observed, threshold, failed, details="'{}'") -> str:
     return (
         f"SELECT ticker, '{name}' AS check_name, CASE WHEN {passed} THEN 'pass' ELSE 'fail' END AS status,"
         f" {rnd(f'CAST({observed} AS DOUBLE)', 6)} AS observed_value,"
-        f" CAST({threshold} AS DOUBLE) AS threshold, CAST({failed} AS INTEGER) AS failed_count"
+        f" CAST({threshold} AS DOUBLE) AS threshold, CAST({failed} AS INTEGER) AS failed_count, {details} AS details"
     )
 
 
+def _json(**fields: str) -> str:
+    """A JSON text of SQL expressions."""
+    pairs = ", ".join(f"'{k}', {v}" for k, v in fields.items())
+    return f"CAST(json_object({pairs}) AS VARCHAR)"
+
+
+def _told(name: str) -> str:
+    return _json(message=f"'{MESSAGES[name]}'")
+
+
+_WITH_REASONS = """'{"accepted_rows":' || valid_rows || ',"rejected_rows":' || rejected_rows || ',"reasons":' || reasons || '}'"""
+_REASONS_ONLY = """'{"reasons":' || reasons || '}'"""
+_COUNTS = dict(raw_count="raw_rows", valid_count="valid_rows", rejected_count="rejected_rows", upserted_count="valid_rows")
+
+
 def _dq(name: str, checks: list[str], body: str, load, views=("validated_entries", "marks"), extra=_DAILY):
     @query(name, sql(body, *views, extra=extra))
     def run(spark, folder):
-        found = load(spark, folder).quality.filter(F.col("check_name").isin(checks)).drop("details")
+        found = load(spark, folder).quality.filter(F.col("check_name").isin(checks))
         return rounded(found, {"observed_value": 6})
 
 
 _dq(
     "dq_payload", ["api_payload_valid"],
-    _row("api_payload_valid", "true", "series_rows", "NULL", "0") + " FROM summary", _daily,
+    _row("api_payload_valid", "true", "series_rows", "NULL", "0", _told("api_payload_valid")) + " FROM summary", _daily,
 )
 _dq(
     "dq_date_keys", ["api_date_key_format"],
-    _row("api_date_key_format", "false", "bad_keys", "0", "bad_keys") + " FROM summary WHERE bad_keys > 0",
+    _row("api_date_key_format", "false", "bad_keys", "0", "bad_keys", _told("api_date_key_format")) + " FROM summary WHERE bad_keys > 0",
     _daily,
 )
 _dq(
     "dq_freshness", ["api_freshness"],
-    _row("api_freshness", "fresh", "staleness", "5", "CASE WHEN fresh THEN 0 ELSE 1 END")
+    _row("api_freshness", "fresh", "staleness", "5", "CASE WHEN fresh THEN 0 ELSE 1 END", _json(latest_api_date="latest"))
     + " FROM summary WHERE latest IS NOT NULL",
     _daily,
 )
@@ -318,27 +378,31 @@ _dq(
     _row(
         "incremental_completeness", f"completeness >= {MIN_COMPLETENESS}", "completeness",
         str(MIN_COMPLETENESS), "greatest(expected - available, 0)",
+        _json(expected_market_days="expected", available_market_days="available", window_start="last_date + 1", window_end="latest"),
     )
     + " FROM summary WHERE fresh AND completeness IS NOT NULL",
     _daily,
 )
 _dq(
     "dq_row_validation", ["row_validation"],
-    _row("row_validation", "rejected_rows = 0", "candidates", "0.20", "rejected_rows")
+    _row("row_validation", "rejected_rows = 0", "candidates", "0.20", "rejected_rows", _WITH_REASONS)
     + " FROM summary WHERE complete AND candidates > 0",
     _daily,
 )
 _dq(
     "dq_reject_ratio", ["reject_ratio_threshold"],
-    _row("reject_ratio_threshold", "false", "rejected_rows / candidates", "0.20", "rejected_rows")
+    _row("reject_ratio_threshold", "false", "rejected_rows / candidates", "0.20", "rejected_rows", _REASONS_ONLY)
     + " FROM summary WHERE complete AND some_valid AND NOT few_rejects",
     _daily,
 )
 _dq(
     "dq_row_counts", ["raw_rows_written", "rows_upserted"],
-    _row("raw_rows_written", "true", "raw_rows", "NULL", "0")
+    _row("raw_rows_written", "true", "raw_rows", "NULL", "0", _told("raw_rows_written"))
     + " FROM summary WHERE complete AND raw_rows > 0 UNION ALL "
-    + _row("rows_upserted", "true", "valid_rows", "NULL", "0")
+    + _row(
+        "rows_upserted", "true", "valid_rows", "NULL", "0",
+        f"CASE WHEN valid_rows > 0 THEN {_json(rejected_rows='rejected_rows')} ELSE {_told('rows_upserted')} END",
+    )
     + " FROM summary WHERE complete AND some_valid AND few_rejects",
     _daily,
 )
@@ -347,6 +411,8 @@ _dq(
     _row(
         "daily_reconciliation", "rejected_rows = 0", "CASE WHEN valid_rows > 0 THEN raw_rows ELSE 0 END",
         "valid_rows", "rejected_rows",
+        f"""CASE WHEN valid_rows > 0 THEN {_json(**_COUNTS, mode="'daily'")} ELSE
+            {_json(**dict.fromkeys(_COUNTS, "0"), mode="'daily'", message=f"'{MESSAGES['reconciliation']}'")} END""",
     )
     + " FROM summary WHERE complete AND some_valid AND few_rejects",
     _daily,
@@ -369,9 +435,10 @@ def daily_accepted_prices(spark, folder):
 # ---- full load -----------------------------------------------------------
 
 _BACKFILL = {
+    "reasons": _reasons("validated_entries WHERE NOT is_valid"),
     "summary": """SELECT ticker, count(*) AS raw_rows, count(*) FILTER (is_valid) AS valid_rows,
-        count(*) FILTER (NOT is_valid) AS rejected_rows, rejected_rows / raw_rows AS ratio
-        FROM validated_entries GROUP BY ticker""",
+        count(*) FILTER (NOT is_valid) AS rejected_rows, rejected_rows / raw_rows AS ratio, coalesce(any_value(listed), '{}') AS reasons
+        FROM validated_entries LEFT JOIN reasons USING (ticker) GROUP BY ticker""",
 }
 
 
@@ -387,18 +454,25 @@ _dq(
     ],
     " UNION ALL ".join(
         [
-            _row("api_payload_valid", "true", "raw_rows", "NULL", "0") + " FROM summary",
-            _row("raw_rows_written", "true", "raw_rows", "NULL", "0") + " FROM summary",
-            _row("row_validation", "rejected_rows = 0", "raw_rows", "0.20", "rejected_rows")
+            _row("api_payload_valid", "true", "raw_rows", "NULL", "0", _told("api_payload_valid")) + " FROM summary",
+            _row("raw_rows_written", "true", "raw_rows", "NULL", "0", _told("raw_rows_written")) + " FROM summary",
+            _row("row_validation", "rejected_rows = 0", "raw_rows", "0.20", "rejected_rows", _WITH_REASONS)
             + " FROM summary WHERE valid_rows > 0",
-            _row("reject_ratio_threshold", "false", "ratio", "0.20", "rejected_rows")
+            _row("reject_ratio_threshold", "false", "ratio", "0.20", "rejected_rows", _REASONS_ONLY)
             + " FROM summary WHERE valid_rows > 0 AND ratio > 0.20",
-            _row("rows_upserted", "true", "valid_rows", "NULL", "0") + " FROM summary WHERE ratio <= 0.20",
-            _row("backfill_reconciliation", "rejected_rows = 0", "raw_rows", "valid_rows", "rejected_rows")
+            _row("rows_upserted", "true", "valid_rows", "NULL", "0", _json(rejected_rows="rejected_rows"))
+            + " FROM summary WHERE ratio <= 0.20",
+            _row(
+                "backfill_reconciliation", "rejected_rows = 0", "raw_rows", "valid_rows", "rejected_rows",
+                _json(**_COUNTS, mode="'backfill'"),
+            )
             + " FROM summary WHERE ratio <= 0.20",
-            _row("backfill_ingestion_exception", "false", "NULL", "NULL", "1")
+            _row(
+                "backfill_ingestion_exception", "false", "NULL", "NULL", "1",
+                _json(error="CASE WHEN valid_rows > 0 THEN 'reject ratio above threshold' ELSE 'all candidate rows rejected' END"),
+            )
             + " FROM summary WHERE ratio > 0.20",
-            _row("backfill_ingestion_exception", "false", "NULL", "NULL", "1")
+            _row("backfill_ingestion_exception", "false", "NULL", "NULL", "1", _json(error="payload_status"))
             + " FROM documents_status WHERE payload_status <> 'ok'",
         ]
     ),
@@ -422,9 +496,10 @@ def _spoiled(spark, folder):
 
 _dq(
     "dq_all_rejected", ["all_candidate_rows_rejected"],
-    _row("all_candidate_rows_rejected", "false", "count(*)", "NULL", "count(*)")
-    + """ FROM validated WHERE key % 3 = 0 AND m IN (2, 3, 4, 5, 6, 7, 8, 9) GROUP BY ticker""",
-    lambda spark, folder: ingest.backfill(_spoiled(spark, folder)), ("validated",), {},
+    _row("all_candidate_rows_rejected", "false", "count(*)", "NULL", "count(*)", "'{\"reasons\":' || any_value(listed) || '}'")
+    + """ FROM validated JOIN reasons USING (ticker) WHERE key % 3 = 0 AND m IN (2, 3, 4, 5, 6, 7, 8, 9) GROUP BY ticker""",
+    lambda spark, folder: ingest.backfill(_spoiled(spark, folder)), ("validated",),
+    {"reasons": _reasons("validated WHERE key % 3 = 0 AND m IN (2, 3, 4, 5, 6, 7, 8, 9)")},
 )
 
 SINGLE_DAY = "1999-06-16"  # the run date; the row of the day before is loaded
@@ -437,14 +512,16 @@ _dq(
     ],
     " UNION ALL ".join(
         [
-            _row("api_payload_valid", "true", "series_rows", "NULL", "0") + " FROM docs",
+            _row("api_payload_valid", "true", "series_rows", "NULL", "0", _told("api_payload_valid")) + " FROM docs",
             _row("daily_row_present", "true", "0", "NULL", "0")
             + " FROM docs WHERE ticker NOT IN (SELECT ticker FROM day)",
-            _row("daily_row_validation", "is_valid", "1", "NULL", "CASE WHEN is_valid THEN 0 ELSE 1 END")
+            _row("daily_row_validation", "is_valid", "1", "NULL", "CASE WHEN is_valid THEN 0 ELSE 1 END",
+                 f"CASE WHEN is_valid THEN '{{}}' ELSE {_json(reject_reason='reject_reason')} END")
             + " FROM day",
             _row("rows_upserted", "true", "1", "NULL", "0") + " FROM day WHERE is_valid",
-            _row("daily_ingestion_exception", "false", "NULL", "NULL", "1") + " FROM day WHERE NOT is_valid",
-            _row("daily_ingestion_exception", "false", "NULL", "NULL", "1")
+            _row("daily_ingestion_exception", "false", "NULL", "NULL", "1", _json(error="reject_reason"))
+            + " FROM day WHERE NOT is_valid",
+            _row("daily_ingestion_exception", "false", "NULL", "NULL", "1", _json(error="payload_status"))
             + " FROM documents_status WHERE payload_status <> 'ok'",
         ]
     ),

@@ -9,13 +9,25 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barline.operators.validate import RunContext
 from barline.schemas import FEATURE_COLUMNS, QUALITY_RESULTS, conform
 
 log = logging.getLogger(__name__)
 
+# Messages in the details of checks that carry no numbers.
+MESSAGES = {
+    "api_payload_valid": "Time Series payload retrieved successfully",
+    "api_date_key_format": "Invalid date keys detected in API payload",
+    "raw_rows_written": "Raw rows persisted before curated upsert",
+    "rows_upserted": "No new rows to upsert",
+    "reconciliation": "No new rows to reconcile",
+    "feature_rows": "Feature rows available for upsert",
+    "no_feature_rows": "No feature rows remain after dropna",
+    "feature_rows_upserted": "Feature rows upserted successfully",
+}
+
 RESULT_COLUMNS = ["ticker", "check_name", "status", "observed_value", "threshold", "failed_count", "details"]
 
 
@@ -61,16 +73,27 @@ def with_context(results: DataFrame, context: RunContext, at: Column | None = No
     return conform(stamped, QUALITY_RESULTS)
 
 
-def append_results(results: DataFrame, path: str) -> bool:
-    """Append to the quality log. A failed write warns and does not stop the job."""
+def store_results(results: DataFrame, path: str, part: str) -> bool:
+    """Write to the quality log, in place of what the same part of the same run wrote before.
+
+    A load that is run again, or a batch of a stream that is replayed, leaves the
+    log as it was. A failed write warns and does not stop the job.
+    """
+    parts = {"log_run": F.coalesce("run_id", F.lit("none")), "log_part": F.lit(part)}
     try:
-        results.write.mode("append").parquet(path)
+        rows = results.withColumns(parts).write.mode("overwrite").partitionBy(*parts)
+        rows.option("partitionOverwriteMode", "dynamic").parquet(path)
         return True
     except Exception as exc:  # the log must never fail the load it describes
         log.warning("could not write data-quality results: %s", exc)
         return False
 
 
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The quality log in the stored table's shape."""
+    return conform(spark.read.parquet(path), QUALITY_RESULTS)
+
+
 def exception_row(spark, name: str, ticker: str | None, error: BaseException | str) -> DataFrame:
     """The result row a job appends when it ends in an error."""
     base = spark.range(1).select(F.lit(ticker).cast("string").alias("ticker"))
@@ -150,10 +173,13 @@ def summary_checks(summary: DataFrame, *, min_rows: int = 26, max_null_ratio: fl
             check(
                 "feature_rows_after_dropna", applies=source_ok, passed=rows > 0, observed=rows,
                 failed=F.when(rows > 0, 0).otherwise(1),
+                details=F.struct(
+                    F.when(rows > 0, MESSAGES["feature_rows"]).otherwise(MESSAGES["no_feature_rows"]).alias("message")
+                ),
             ),
             check(
-                "feature_null_cells", applies=some, passed=cells == 0, observed=cells,
-                threshold=0.0, failed=cells,
+                "feature_null_cells", applies=some, passed=cells == 0, observed=cells, threshold=0.0, failed=cells,
+                details=F.struct(F.array(*[F.lit(c) for c in FEATURE_COLUMNS]).alias("feature_columns")),
             ),
             check(
                 "rsi_range_check", applies=complete, passed=rsi == 0, observed=rsi, threshold=0.0,
@@ -163,7 +189,10 @@ def summary_checks(summary: DataFrame, *, min_rows: int = 26, max_null_ratio: fl
                 "volatility_non_negative", applies=in_range, passed=vol == 0, observed=vol,
                 threshold=0.0, failed=vol, details=text(column="volatility_14"),
             ),
-            check("feature_rows_upserted", applies=stored, observed=rows),
+            check(
+                "feature_rows_upserted", applies=stored, observed=rows,
+                details=text(message=MESSAGES["feature_rows_upserted"]),
+            ),
             check(
                 "feature_engineering_exception", applies=~stored, passed=False, failed=1,
                 details=F.struct(

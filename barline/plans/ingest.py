@@ -16,9 +16,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barline.functions.calendar import business_days
-from barline.operators.quality import check, long_form
+from barline.operators.quality import MESSAGES, check, long_form
 from barline.operators.validate import RunContext, price_records, raw_observations, validate_rows
-from barline.sources.payload import explode_series, parse
+from barline.sources.payload import explode_series, parse, refused
 
 # Gates, and the look-back of a first run.
 MAX_REJECT_RATIO = 0.20
@@ -46,6 +46,7 @@ class Ingest:
     quality: DataFrame  # long-form checks
     raw: DataFrame      # rows for the raw table
     prices: DataFrame   # accepted rows for the curated table
+    refused: DataFrame  # whole documents that have no series, with their status
 
 
 def high_water_mark(
@@ -82,7 +83,8 @@ def daily(
     """
     # Marks join the documents (one row per ticker) before the explode.
     marked = high_water_mark(docs.select("ticker", "doc"), stored, as_of)
-    rows = stage(validate_rows(explode_series(parse(marked))))
+    parsed = parse(marked)
+    rows = stage(validate_rows(explode_series(parsed)))
     new = F.col("trade_date") > F.col("last_date")
     rejected = F.col("trade_date").isNull() | (new & ~F.col("is_valid"))
     summary = rows.groupBy("ticker", "last_date").agg(
@@ -121,28 +123,36 @@ def daily(
     quality = long_form(
         summary,
         [
-            check("api_payload_valid", observed=F.col("series_rows")),
+            check("api_payload_valid", observed=F.col("series_rows"), details=_message("api_payload_valid")),
             check(
-                "api_date_key_format", applies=F.col("bad_keys") > 0, passed=False,
-                observed=F.col("bad_keys"), threshold=0.0, failed=F.col("bad_keys"),
+                "api_date_key_format", applies=F.col("bad_keys") > 0, passed=False, observed=F.col("bad_keys"),
+                threshold=0.0, failed=F.col("bad_keys"), details=_message("api_date_key_format"),
             ),
             check(
                 "api_freshness", applies=F.col("latest").isNotNull(), passed=fresh,
                 observed=F.col("staleness"), threshold=float(max_staleness_days),
-                failed=F.when(fresh, 0).otherwise(1), details=F.struct("latest"),
+                failed=F.when(fresh, 0).otherwise(1), details=F.struct(F.col("latest").alias("latest_api_date")),
             ),
             check(
                 "incremental_completeness", applies=fresh & F.col("completeness").isNotNull(),
                 passed=F.col("completeness") >= min_completeness, observed=F.col("completeness"),
                 threshold=min_completeness, failed=F.greatest(short, F.lit(0)),
-                details=F.struct("expected", "available", "last_date", "latest"),
+                details=F.struct(
+                    F.col("expected").alias("expected_market_days"), F.col("available").alias("available_market_days"),
+                    F.date_add("last_date", 1).alias("window_start"), F.col("latest").alias("window_end"),
+                ),
             ),
-            check("raw_rows_written", applies=complete & (raw > 0), observed=raw),
+            check("raw_rows_written", applies=complete & (raw > 0), observed=raw, details=_message("raw_rows_written")),
             _row_validation(complete & some, max_reject_ratio),
             _all_rejected(complete & ~kept),
             _reject_ratio(kept & ~accepted, max_reject_ratio),
-            check("rows_upserted", applies=accepted, observed=valid),
-            _reconciliation("daily_reconciliation", accepted, F.when(valid > 0, raw).otherwise(0)),
+            check(
+                "rows_upserted", applies=accepted, observed=valid,
+                details=F.struct(
+                    F.when(valid > 0, bad).alias("rejected_rows"), F.when(valid == 0, MESSAGES["rows_upserted"]).alias("message")
+                ),
+            ),
+            _reconciliation("daily_reconciliation", accepted, "daily"),
         ],
     )
     gates = summary.select("ticker", F.col("complete").alias("_raw_ok"), F.col("accepted").alias("_ok"))
@@ -152,6 +162,7 @@ def daily(
         quality,
         raw_observations(gated, context),
         price_records(gated.filter("_ok")),
+        refused(parsed),
     )
 
 
@@ -180,13 +191,15 @@ def backfill(
     quality = long_form(
         summary,
         [
-            check("api_payload_valid", observed=F.col("raw_rows")),
-            check("raw_rows_written", observed=F.col("raw_rows")),
+            check("api_payload_valid", observed=F.col("raw_rows"), details=_message("api_payload_valid")),
+            check("raw_rows_written", observed=F.col("raw_rows"), details=_message("raw_rows_written")),
             _all_rejected(~kept),
             _row_validation(kept, max_reject_ratio),
             _reject_ratio(kept & ~accepted, max_reject_ratio),
-            check("rows_upserted", applies=accepted, observed=F.col("valid_rows")),
-            _reconciliation("backfill_reconciliation", accepted, F.col("raw_rows")),
+            check(
+                "rows_upserted", applies=accepted, observed=F.col("valid_rows"), details=F.struct("rejected_rows")
+            ),
+            _reconciliation("backfill_reconciliation", accepted, "backfill"),
             check(
                 "backfill_ingestion_exception", applies=~accepted, passed=False, failed=1,
                 details=F.struct(
@@ -212,6 +225,7 @@ def backfill(
         quality.unionByName(unusable),
         raw_observations(rows, context),
         price_records(rows.join(ok, "ticker", "left_semi")),
+        refused(parsed),
     )
 
 
@@ -232,7 +246,7 @@ def single_day(
     quality = long_form(
         summary,
         [
-            check("api_payload_valid", observed=F.col("series_rows")),
+            check("api_payload_valid", observed=F.col("series_rows"), details=_message("api_payload_valid")),
             check("daily_row_present", applies=~present, observed=0.0),
             check(
                 "daily_row_validation", applies=present, passed=valid, observed=1.0,
@@ -256,7 +270,7 @@ def single_day(
     )
     found = summary.filter("present")
     return Ingest(
-        summary, quality.unionByName(unusable), raw_observations(found, context), price_records(found)
+        summary, quality.unionByName(unusable), raw_observations(found, context), price_records(found), refused(parsed)
     )
 
 
@@ -312,13 +326,22 @@ def _reject_ratio(applies: Column, max_reject_ratio: float) -> Column:
     )
 
 
-def _reconciliation(name: str, applies: Column, raw: Column) -> Column:
-    """Raw against curated counts: observed raw, threshold valid, passes without rejects."""
-    valid, bad = F.col("valid_rows"), F.col("rejected_rows")
+def _reconciliation(name: str, applies: Column, mode: str) -> Column:
+    """Raw against curated counts: observed raw, threshold valid, passes without rejects.
+
+    A daily load without a new row has nothing to reconcile: all its counts are 0.
+    """
+    valid, bad, raw = F.col("valid_rows"), F.col("rejected_rows"), F.col("raw_rows")
+    nothing = (valid == 0) if mode == "daily" else F.lit(False)
+    raw, bad = (F.when(nothing, 0).otherwise(c) for c in (raw, bad))
     return check(
         name, applies=applies, passed=bad == 0, observed=raw, threshold=valid, failed=bad,
         details=F.struct(
-            raw.alias("raw_count"), valid.alias("valid_count"), bad.alias("rejected_count"),
-            valid.alias("upserted_count"),
+            raw.alias("raw_count"), valid.alias("valid_count"), bad.alias("rejected_count"), valid.alias("upserted_count"),
+            F.lit(mode).alias("mode"), F.when(nothing, MESSAGES["reconciliation"]).alias("message"),
         ),
     )
+
+
+def _message(name: str) -> Column:
+    return F.struct(F.lit(MESSAGES[name]).alias("message"))

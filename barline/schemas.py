@@ -76,7 +76,14 @@ SERIES = T.StructType(
     ]
 )
 
+QUARANTINE = _struct("ticker string, doc string, payload_status string, dag_id string, task_id string, run_id string")
+FITTED_MODELS = _struct(
+    "ticker string, model_version string, trained_at timestamp, slope double, intercept double,"
+    " train_rows bigint, lo_close double, hi_close double"
+)
+
 KEYS = {
+    "fitted_models": ["ticker", "model_version"],
     "series": ["ticker"],
     "prices": ["ticker", "date"],
     "raw_prices": ["ticker", "source_date_key", "run_id"],

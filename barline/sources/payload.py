@@ -12,8 +12,8 @@ ERROR = "Error Message"
 NOTICE = "Note"
 
 _STRICT = {"allowSingleQuotes": "false"}
-# Texts of JSON values that count as "no message".
-_NO_MESSAGE = ["", "false", "0", "0.0", "{}", "[]"]
+# JSON that says nothing, besides numbers that are zero.
+_NO_MESSAGE = ["null", "false", '""', "{}", "[]"]
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -41,8 +41,8 @@ def parse(docs: DataFrame) -> DataFrame:
     status = F.coalesce(
         F.when(~F.coalesce("_json", F.lit(False)), "non_json"),
         F.when(F.col("_top").isNull(), "not_object"),
-        F.when(_has_message(F.col("_top"), ERROR), "api_error"),
-        F.when(_has_message(F.col("_top"), NOTICE), "rate_limit"),
+        F.when(_has_message(F.col("doc"), F.col("_top"), ERROR), "api_error"),
+        F.when(_has_message(F.col("doc"), F.col("_top"), NOTICE), "rate_limit"),
         F.when(F.coalesce(F.size("_series"), F.lit(0)) <= 0, "missing_series"),
         F.lit("ok"),
     )
@@ -77,15 +77,30 @@ def gate(parsed: DataFrame) -> DataFrame:
     )
 
 
+def refused(parsed: DataFrame) -> DataFrame:
+    """Documents that are not ``ok``, whole, with their status."""
+    return parsed.filter("payload_status <> 'ok'").select("ticker", "doc", "payload_status")
+
+
 def _last_value(entries: Column, key: str) -> Column:
     """Value of a key; the parser keeps repeated keys and the last one counts."""
     hits = F.filter(F.map_entries(entries), lambda e: e["key"] == key)
     return F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"])
 
 
-def _has_message(entries: Column, key: str) -> Column:
-    text = _last_value(entries, key)
-    return text.isNotNull() & ~text.isin(_NO_MESSAGE)
+def _has_message(doc: Column, entries: Column, key: str) -> Column:
+    """Whether the document has something to say under ``key``, by the kind of JSON value.
+
+    A text counts unless it is empty, so ``"0"`` and ``"false"`` do; of other values
+    ``null``, ``false``, zero and empty containers do not. The value is parsed again, with its
+    kind, only where the key is there; one that a variant cannot hold (a repeated key within it) counts.
+    """
+    value = F.from_json(doc, f"`{key}` variant", _STRICT)[key]
+    text, kind = F.to_json(value), F.schema_of_variant(value)
+    number = ~kind.isin("STRING", "BOOLEAN", "VOID") & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
+    zero = F.when(number, F.try_variant_get(value, "$", "double") == 0.0).otherwise(F.lit(False))
+    said = F.when(value.isNull(), _last_value(entries, key).isNotNull()).otherwise(~text.isin(_NO_MESSAGE) & ~zero)
+    return F.when(F.map_contains_key(entries, key), said).otherwise(F.lit(False))
 
 
 def _last_entries(entries: Column) -> Column:

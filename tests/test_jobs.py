@@ -7,13 +7,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from barline import schemas
 from barline.operators import quality
 from barline.operators.indicators import stock_features
+from barline.operators.merge import upsert
 from barline.operators.validate import RunContext
 from barline.plans import jobs
 from barline.session import scratch_folder
 from barline.sources import payload
-from barline.sources.tables import KeyedTable
+from barline.sources.tables import KeyedTable, stage
 from barline.streaming.features import stream_features
 from barline.streaming.ingest import ingest_stream, read_documents
 from tests.test_indicators import assert_same, frame, got, series, walk
@@ -62,15 +64,21 @@ def test_daily_equals_full_load_and_rerun_changes_nothing(spark, store):
     as_of = F.lit(str(DAYS[-1])).cast("date")
     jobs.ingest_daily(spark, store, docs(spark, 60, 130), as_of, RunContext("run-2", "load", "daily"))
     assert store.prices.read(spark).count() == 260
+
+    def upserted():
+        rows = quality.read_results(spark, store.quality).filter("check_name = 'rows_upserted' AND run_id = 'run-2'")
+        return [r.observed_value for r in rows.collect()]
+
+    assert upserted() == [30.0, 30.0]
     once = [snapshot(t, spark, ["updated_at", "ingested_at", "created_at"]) for t in (store.prices, store.raw, store.features)]
     jobs.ingest_daily(spark, store, docs(spark, 60, 130), as_of, RunContext("run-2", "load", "daily"))
     again = [snapshot(t, spark, ["updated_at", "ingested_at", "created_at"]) for t in (store.prices, store.raw, store.features)]
     assert once == again
     whole = stock_features(store.prices.read(spark))
     assert_same(got(store.features.read(spark)), got(whole))
-    log = spark.read.parquet(store.quality)
-    assert log.filter("check_name = 'rows_upserted' AND run_id = 'run-2' AND observed_value = 30").count() == 2
-    assert log.filter("status = 'fail'").count() == 0
+    assert quality.read_results(spark, store.quality).filter("status = 'fail'").count() == 0
+    # The run's rows are those of its last execution, which found nothing new.
+    assert upserted() == [0.0, 0.0]
 
 
 def test_a_new_day_reads_no_history(spark, monkeypatch):
@@ -126,9 +134,43 @@ def test_quality_log_failure_only_warns(spark):
     row = quality.exception_row(spark, "feature_engineering_exception", "A", ValueError("boom"))
     assert json.loads(row.first()["details"]) == {"error": "boom"}
     stored = quality.with_context(row, RunContext("r", "d", "t"))
-    assert not quality.append_results(stored, "unknown-scheme://nowhere/x")
+    assert not quality.store_results(stored, "unknown-scheme://nowhere/x", "load")
     path = scratch_folder(spark, "quality")
-    assert quality.append_results(stored, path) and spark.read.parquet(path).count() == 1
+    for part in ("load", "load", "other"):  # the same part again replaces its rows
+        assert quality.store_results(stored, path, part)
+    assert quality.read_results(spark, path).count() == 2
+    assert quality.read_results(spark, path).columns == [f.name for f in schemas.QUALITY_RESULTS]
+
+
+def test_a_job_that_dies_says_so(spark):
+    store = jobs.Store(scratch_folder(spark, "test-dies"))
+    broken = docs(spark, 0, 60).withColumn("doc", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        jobs.ingest_backfill(spark, store, broken, RunContext("run-x", "load", "backfill"))
+    rows = quality.read_results(spark, store.quality).collect()
+    assert [(r.check_name, r.status, r.run_id, "boom" in r.details) for r in rows] == [
+        ("backfill_ingestion_exception", "fail", "run-x", True)
+    ]
+
+
+def test_models_of_their_time(spark):
+    """Training adds versions; a forecast takes the latest one known at its time."""
+    store = jobs.Store(scratch_folder(spark, "test-models"))
+    jobs.ingest_backfill(spark, store, docs(spark, 0, 100), RunContext("run-1"))
+    at = lambda text: F.lit(text).cast("timestamp")
+    jobs.train(spark, store, at("2024-05-20 06:00:00"))
+    only_a = docs(spark, 100, 130).filter("ticker = 'A'")
+    jobs.ingest_daily(spark, store, only_a, F.lit(str(DAYS[-1])).cast("date"), RunContext("run-2"))
+    late = store.fitted.read(spark).filter("ticker = 'A'").withColumns(
+        {"trained_at": at("2024-07-01 06:00:00"), "model_version": F.lit("A_v2"), "slope": F.lit(0.0), "intercept": F.lit(0.5)}
+    )
+    store.fitted.merge(stage(late, "late"), lambda t, s, k: upsert(t, s, k))
+    now = {r.ticker: r.model_version for r in store.current_model(spark).collect()}
+    assert now == {"A": "A_v2", "B": "B_v20240520T060000"}
+    jobs.predict(spark, store, at("2024-06-01 00:00:00"))
+    assert {r.model_version for r in store.predictions.read(spark).collect()} == {"A_v20240520T060000", "B_v20240520T060000"}
+    jobs.predict(spark, store)
+    assert {r.model_version for r in store.predictions.read(spark).collect()} == set(now.values())
 
 
 def test_read_documents(spark, tmp_path):
@@ -149,7 +191,12 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark):
     run("c1")
     once = snapshot(store.prices, spark, ["created_at", "updated_at"])
     assert len(once) == 260
+    log = sorted(map(str, quality.read_results(spark, store.quality).drop("created_at").collect()))
     run("c2")  # a lost checkpoint: everything is read again
+    again = sorted(map(str, quality.read_results(spark, store.quality).drop("created_at").collect()))
+    assert [r for r in again if "feature" not in r and "source_base" not in r] == [
+        r for r in log if "feature" not in r and "source_base" not in r
+    ]
     assert snapshot(store.prices, spark, ["created_at", "updated_at"]) == once
     whole = jobs.Store(f"{base}/whole", grain="yyyy")
     jobs.ingest_backfill(spark, whole, docs(spark, 0, 130), RunContext("r"))
@@ -173,7 +220,10 @@ def test_stream_refuses_what_the_batch_refuses(spark):
         )
     assert {r[0] for r in store.prices.read(spark).select("ticker").distinct().collect()} == {"GOOD"}
     assert store.raw.read(spark).filter("ticker = 'BAD'").count() == 10
-    logs = [sorted(map(str, spark.read.parquet(s.quality).drop("created_at").collect())) for s in (store, whole)]
+    logs = [sorted(map(str, quality.read_results(spark, s.quality).drop("created_at").collect())) for s in (store, whole)]
+    for s in (store, whole):
+        held = [(r.ticker, r.payload_status, r.doc) for r in spark.read.parquet(s.quarantine).collect()]
+        assert held == [("NONE", "non_json", "not json")]
     assert logs[0] == logs[1] and any("reject_ratio_threshold" in r for r in logs[0])
 
 
