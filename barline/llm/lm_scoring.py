@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -185,7 +185,7 @@ def lm_scores(
 #: Places of the window, relative to the token that is predicted.
 PLACES = (-2, -1, 1, 2)
 #: Fixed point of summed gradients, so that sums do not depend on their order.
-UNIT = 1 << 20
+UNIT = 1 << 16
 #: Texts are taken up so many bytes at a time, tokens so many.
 TAKEN, BLOCK = 1 << 22, 1 << 14
 
@@ -234,13 +234,29 @@ class Vocabulary:
         return out, places
 
 
+#: Words that a task counts before it hands the counts on.
+HELD_WORDS = 1 << 18
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``word`` and ``n``, of every word of the corpus."""
+    """``word`` and ``n``, of every word of the corpus. A task adds up its parts before they move."""
+
+    def handed(held: dict[bytes, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"]
+        )
 
     def count(batches):
+        held: dict[bytes, int] = {}
         for b in batches:
             for _, codes, words in tokens(b):
-                yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], ["word", "n"])
+                times = np.bincount(codes, minlength=len(words)).tolist()
+                for word, n in zip(words.to_pylist(), times):
+                    held[word] = held.get(word, 0) + n
+                if len(held) > HELD_WORDS:
+                    yield handed(held)
+                    held = {}
+        yield handed(held)
 
     return rows.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -306,7 +322,7 @@ def _slopes(counts: np.ndarray, params: list[np.ndarray]) -> tuple[np.ndarray, n
 def _word_gradients(rows: DataFrame, vocabulary, start) -> np.ndarray:
     """The gradient of the loss by the embedding of every word at every place, over all tokens: (places, words, hidden)."""
     hidden = start.value[0].shape[1]
-    names = [f"g{i}" for i in range(hidden)]
+    width = len(PLACES) * hidden
 
     def sums(batches):
         known, (expected, slope, weights) = vocabulary.value, start.value
@@ -331,16 +347,56 @@ def _word_gradients(rows: DataFrame, vocabulary, start) -> np.ndarray:
                     for k, o in enumerate(PLACES):
                         run = np.cumsum(back.take(order + (2 - o), 1), 1, np.float64).take(last, 1)
                         total[k, ends] += np.diff(run, axis=1, prepend=0.0).T
-        total = np.rint(total * UNIT).astype(np.int64).reshape(-1, hidden)
-        there = np.flatnonzero(total.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(there), *map(pa.array, total[there].T.copy())], ["row", *names])
-
-    found = rows.select("text").mapInArrow(sums, "row long, " + ", ".join(f"{g} long" for g in names))
-    table = found.groupBy("row").agg(*[F.sum(g).alias(g) for g in names]).toArrow()
-    out = np.zeros((len(vocabulary.value.n) * len(PLACES), hidden))
-    for i, g in enumerate(names):
-        out[table.column("row").to_numpy(), i] = table.column(g).to_numpy() / UNIT
-    return out.reshape(len(PLACES), -1, hidden)
+        there = np.flatnonzero(total.any((0, 2)))
+        for i in range(0, len(there), BLOCK):
+            part = there[i : i + BLOCK]
+            rounded = np.rint(total[:, part] * UNIT).astype(np.int64).transpose(1, 0, 2).reshape(len(part), -1)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(_packed(rounded), pa.binary())], ["number", "sums"])
+
+    def added(batches):
+        """The sums of the words of a partition; as floats, since no more is added."""
+        place: dict[int, int] = {}
+        total = np.zeros((0, width), np.int64)
+        for b in batches:
+            numbers = b.column("number").to_pylist()
+            at = np.array([place.setdefault(n, len(place)) for n in numbers], np.int64)
+            if len(place) > len(total):
+                total = np.concatenate([total, np.zeros((max(len(place) - len(total), len(total)), width), np.int64)])
+            for rows_at, sums in _unpacked(b.column("sums").to_pylist(), width):
+                np.add.at(total, at[rows_at], sums)
+        if place:
+            found = [v.tobytes() for v in (total[: len(place)] / UNIT).astype(np.float32)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(place), pa.int64()), pa.array(found, pa.binary())], ["number", "sums"])
+
+    kind = "number long, sums binary"
+    table = rows.select("text").mapInArrow(sums, kind).repartition("number").mapInArrow(added, kind).toArrow()
+    out = np.zeros((len(vocabulary.value.n), len(PLACES), hidden))
+    if table.num_rows:
+        found = np.frombuffer(b"".join(table.column("sums").to_pylist()), np.float32)
+        out[table.column("number").to_numpy()] = found.reshape(-1, len(PLACES), hidden)
+    return out.transpose(1, 0, 2)
+
+
+def _packed(rows: np.ndarray) -> list[bytes]:
+    """Each row's integers in four bytes, or eight where they need them, bytes of one weight side by side: zeros meet zeros."""
+    wide = np.abs(rows).max(1) >= 1 << 31
+    out = np.empty(len(rows), object)
+    for kind, weight, mine in (("<i4", 4, ~wide), ("<i8", 8, wide)):
+        part = np.ascontiguousarray(rows[mine].astype(kind))
+        planes = part.view(np.uint8).reshape(len(part), rows.shape[1], weight).transpose(0, 2, 1)
+        for i, plane in zip(np.flatnonzero(mine), planes):
+            out[i] = plane.tobytes()
+    return out.tolist()
+
+
+def _unpacked(packed: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Which rows, and their integers, of those in four bytes and those in eight."""
+    sizes = np.array([len(p) for p in packed])
+    for kind, weight in (("<i4", 4), ("<i8", 8)):
+        at = np.flatnonzero(sizes == weight * width)
+        if len(at):
+            planes = np.frombuffer(b"".join(packed[i] for i in at), np.uint8).reshape(len(at), weight, width)
+            yield at, np.ascontiguousarray(planes.transpose(0, 2, 1)).view(kind).reshape(len(at), width).astype(np.int64)
 
 
 def _embeddings(vocabulary: Vocabulary, params: list[np.ndarray], gradients: np.ndarray, curvature: np.ndarray) -> np.ndarray:

@@ -115,3 +115,36 @@ def test_word_scores_of_odd_rows(odd, none):
     assert got.count() == odd.count()
     assert got.filter("doc_id in (4, 5, 6) and (n_tokens > 0 or log_likelihood <> 0 or perplexity is not null)").count() == 0
     assert lm_scoring.word_scores(none).count() == 0
+
+
+def test_word_gradients_by_hand(spark):
+    """Summed over tokens one by one; rows in four and in eight bytes."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(list("abcdefgh"), n)) for n in (1, 2, 3, 40, 0, 7)] + ["a " * 70_000]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    words = [bytes([c]) for c in b"abcdef"]
+    known = lm_scoring.Vocabulary(words, np.full(6, 9), 5, 6, 2)
+    size, hidden = known.classes, 5
+    expected, slope = (rng.normal(0, 1, (size * size, hidden)).astype(np.float32) for _ in range(2))
+    weights = (1000 * rng.normal(0, 1, (size, hidden))).astype(np.float32)
+    context = spark.sparkContext
+    got = lm_scoring._word_gradients(docs, context.broadcast(known), context.broadcast((expected, slope, weights)))
+    want = np.zeros(got.shape)
+    for text in texts:
+        line = [0, 0, *(known.number.get(w.encode(), known.rare) for w in text.split()), 0, 0]
+        kinds = known.kind[line]
+        for t in range(2, len(line) - 2):
+            pair = kinds[t - 1] * size + kinds[t + 1]
+            back = (expected[pair].astype(float) - weights[kinds[t]]) * slope[pair]
+            for k, o in enumerate(lm_scoring.PLACES):
+                want[k, line[t + o]] += back
+    assert np.abs(want * lm_scoring.UNIT).max() > 1 << 31
+    np.testing.assert_allclose(got, want, rtol=1e-4, atol=1e-2)
+
+
+def test_packed_sums_round_trip():
+    rows = np.array([[0, -1, 5], [1 << 31, -(1 << 40), 3], [(1 << 31) - 1, 7, 0]])
+    back = np.zeros_like(rows)
+    for at, part in lm_scoring._unpacked(lm_scoring._packed(rows), 3):
+        back[at] = part
+    assert (back == rows).all()
