@@ -10,7 +10,7 @@ from barline.catalog.views import rnd, sql
 from barline.functions.calendar import version_string
 from barline.operators import forecast, sequences
 from barline.plans import maintenance
-from barline.schemas import FEATURE_COLUMNS
+from barline.schemas import FEATURE_COLUMNS, feature_prefix
 from barline.sources import fixtures
 from barline.sources.tables import stage
 
@@ -132,6 +132,38 @@ def prediction_windows(spark, folder):
     return rounded(_window_ends(windows), _END_DIGITS)
 
 
+def _window_sums(windows):
+    """Every value of a window, weighted by its place in it: step times column."""
+
+    def weighted(values):
+        parts = F.transform(values, lambda v, i: (i + 1) * v)
+        return F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
+
+    steps = F.transform("x", lambda step, k: (k + 1) * weighted(step))
+    total = F.aggregate(steps, F.lit(0.0), lambda acc, v: acc + v)
+    return rounded(windows.select("ticker", "date", F.size("x").alias("steps"), total.alias("total")), {"total": 1})
+
+
+def _window_sums_sql(first: int, last: int) -> str:
+    w = f"OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN {first} PRECEDING AND {last} PRECEDING)"
+    row = " + ".join(f"{i + 1} * {c}" for i, c in enumerate(FEATURE_COLUMNS))
+    return f"""SELECT ticker, date, 30 AS steps, {rnd(f'moment - (rn - {first + 1}) * total', 1)} AS total FROM (
+        SELECT ticker, date, rn, sum(rn * s) {w} AS moment, sum(s) {w} AS total FROM (
+            SELECT ticker, date, rn, {row} AS s FROM scaled)) WHERE rn > {first}"""
+
+
+@query("training_window_sums", sql(_window_sums_sql(30, 1), "features", extra=_SCALED))
+def training_window_sums(spark, folder):
+    scaled = sequences.minmax_scale(stored_features(spark, folder))
+    return _window_sums(sequences.training_sequences(scaled))
+
+
+@query("prediction_window_sums", sql(_window_sums_sql(29, 0), "features", extra=_SCALED))
+def prediction_window_sums(spark, folder):
+    scaled = sequences.minmax_scale(stored_features(spark, folder))
+    return _window_sums(sequences.prediction_windows(scaled))
+
+
 @query(
     "chrono_split",
     sql("SELECT ticker, date, sequence_no, sequences, is_train FROM pairs", "features", extra=_SPLIT),
@@ -208,6 +240,55 @@ def ridge_residual(spark, folder):
     return rounded(forecast.ridge_residual(sums, forecast.solve_ridge(sums)), {"residual": 6})
 
 
+def _determinant(rows: list[list[str]]) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = rows
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+def _solved(unknown: int) -> str:
+    """One weight of the two-input ridge by Cramer's rule."""
+    system = [["aa", "ab", "a"], ["ab", "bb", "b"], ["a", "b", "n"]]
+    replaced = [[r[j] if j != unknown else t for j in range(3)] for r, t in zip(system, ("at_", "bt", "t_"))]
+    return f"{_determinant(replaced)} / {_determinant(system)}"
+
+
+# A model of the first two features, as one trained before the others were added.
+_PREFIX = {
+    **_RIDGE,
+    "moments": f"""SELECT ticker, count(*) AS n, sum(x0) AS a, sum(x1) AS b, sum(x0 * x0) + {forecast.RIDGE_PENALTY} AS aa,
+        sum(x0 * x1) AS ab, sum(x1 * x1) + {forecast.RIDGE_PENALTY} AS bb, sum(x0 * t) AS at_, sum(x1 * t) AS bt, sum(t) AS t_
+        FROM design GROUP BY ticker""",
+    "weights": f"SELECT ticker, n, {_solved(0)} AS w0, {_solved(1)} AS w1, {_solved(2)} AS w2 FROM moments",
+    "last_rows": """SELECT ticker, max(date) AS based_on_date, arg_max(close, date) AS c, arg_max(daily_return, date) AS r
+        FROM features GROUP BY ticker HAVING count(*) >= 30""",
+}
+_SHORT = feature_prefix(2)
+
+
+@query(
+    "ridge_prefix_forecast",
+    sql(
+        f"""SELECT ticker, based_on_date, train_rows, {rnd('w0', 5)} AS w0, {rnd('w1', 5)} AS w1, {rnd('w2', 5)} AS w2,
+            {rnd('p * width_c + lo_close', 3)} AS predicted_close
+        FROM (SELECT ticker, based_on_date, n AS train_rows, w0, w1, w2, lo_close, width_c,
+                w0 * (c - lo_close) / width_c + w1 * (r - lo_daily_return) / width_r + w2 AS p
+            FROM (SELECT *, coalesce(nullif(hi_close - lo_close, 0), 1) AS width_c,
+                    coalesce(nullif(hi_daily_return - lo_daily_return, 0), 1) AS width_r
+                FROM weights JOIN last_rows USING (ticker) JOIN scaler USING (ticker)))""",
+        "features", extra=_PREFIX,
+    ),
+)
+def ridge_prefix_forecast(spark, folder):
+    """The next close by a model that knows the first two features only, and its weights."""
+    features = stored_features(spark, folder)
+    scaler = sequences.fit_scaler(features)
+    model = stage(forecast.fit_ridge(features, columns=_SHORT), "ridge")
+    predicted = forecast.predict_ridge(features, scaler, model, len(_SHORT)).join(model, "ticker")
+    weights = [F.element_at("weights", i + 1).alias(f"w{i}") for i in range(3)]
+    told = predicted.select("ticker", "based_on_date", "train_rows", *weights, "predicted_close")
+    return rounded(told, {"w0": 5, "w1": 5, "w2": 5, "predicted_close": 3})
+
+
 _METRICS = {
     **_MODEL,
     "errors": """SELECT p.ticker, (slope * x + intercept - y) * coalesce(nullif(hi_close - lo_close, 0), 1) AS e

@@ -6,7 +6,7 @@ targets leave out some days, sources change values on others.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from barline import schemas
 from barline.catalog.features import all_features, digits, rounded_columns, stored_features
@@ -237,10 +237,9 @@ def conform_schema(spark, folder):
     old = fixtures.bars(spark, folder).select(
         "volume", F.col("date").cast("string").alias("date"), F.col("close").cast("string").alias("close"), "ticker"
     ).withColumnRenamed("volume", "volume_sma_20")
-    conformed = schemas.conform(old, schemas.FEATURES)
-    return conformed.select(
-        "ticker", "date", "close", F.lit(None).cast("double").alias("open"), "volume_sma_20", "bb_width"
-    )
+    # `open` is a column that the schema has and the old table lacks.
+    today = T.StructType([*schemas.FEATURES.fields, schemas.PRICES["open"]])
+    return schemas.conform(old, today).select("ticker", "date", "close", "open", "volume_sma_20", "bb_width")
 
 
 @query(
