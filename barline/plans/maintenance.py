@@ -20,6 +20,7 @@ def prediction_gaps(
     prices: DataFrame,
     recent_rows: int = RECENT_ROWS,
     *,
+    series: DataFrame | None = None,
     block_days: int = BLOCK_DAYS,
 ) -> DataFrame:
     """Windows whose prediction or actual is missing.
@@ -30,11 +31,17 @@ def prediction_gaps(
     an actual, whether or not the actual is known by now. Of windows that predict
     the same date (Friday's, Saturday's and Sunday's) the latest counts. Joins are
     on (ticker, date) pairs, so no single key is large.
+
+    ``features`` may be the last rows of each ticker only, where ``series`` (ticker,
+    ``feature_rows``) says how many there are in all.
     """
-    cut = segment(features, 1, block_days=block_days)
-    windows = own_rows(
-        cut.df.withColumns({"_position": cut.position(), "_length": cut.length()})
-    ).filter(F.col("_position") >= SEQUENCE_ROWS)
+    cut = segment(features.select("ticker", "date", "close"), 1, block_days=block_days)
+    windows = own_rows(cut.df.withColumns({"_position": cut.position(), "_length": cut.length()}))
+    if series is not None:
+        ahead = F.col("feature_rows") - F.col("_length")
+        windows = windows.join(series.select("ticker", "feature_rows"), "ticker")
+        windows = windows.withColumns({"_position": F.col("_position") + ahead, "_length": F.col("feature_rows")})
+    windows = windows.filter(F.col("_position") >= SEQUENCE_ROWS)
     windows = windows.select(
         "ticker",
         F.col("date").alias("based_on_date"),
@@ -115,9 +122,14 @@ def maintenance_report(features: DataFrame, model: DataFrame, records: DataFrame
     ``status`` is ``too_few_rows`` for less than one window of rows, ``no_model``, or
     ``done``; counts are 0 where nothing was due.
     """
+    counted = features.groupBy("ticker").agg(F.count(F.lit(1)).alias("feature_rows"))
+    return report_from(counted, model, records)
+
+
+def report_from(series: DataFrame, model: DataFrame, records: DataFrame) -> DataFrame:
+    """The same from ``series``: ticker and ``feature_rows``."""
     metrics = maintenance_metrics(records)
     counts = [c for c, kind in metrics.dtypes if kind == "bigint"]
-    series = features.groupBy("ticker").agg(F.count(F.lit(1)).alias("feature_rows"))
     trained = model.select("ticker", "model_version")
     status = (
         F.when(F.col("feature_rows") < SEQUENCE_ROWS, "too_few_rows")
@@ -132,6 +144,26 @@ def maintenance_report(features: DataFrame, model: DataFrame, records: DataFrame
     )
 
 
+def open_days(series: DataFrame) -> DataFrame:
+    """``ticker``, ``date``: a day of every month in which a ticker may have open windows or their predicted days."""
+    begin = F.coalesce("settled_until", F.col("state.first_date"))
+    end = F.date_add("feature_last", 3)
+    days = F.concat(F.sequence(F.least(begin, end), end, F.expr("interval 1 month")), F.array(end))
+    return series.filter("feature_last IS NOT NULL").select("ticker", F.explode(days).alias("date"))
+
+
+def settled(series: DataFrame, gaps: DataFrame, model: DataFrame) -> DataFrame:
+    """``series`` with ``settled_until`` moved up to the day before each ticker's first window that stays open.
+
+    A window stays open where its actual is not known yet, or there is no model to predict by.
+    """
+    trained = model.select("ticker", F.lit(True).alias("_trained"))
+    still = gaps.join(trained, "ticker", "left").filter("_trained IS NULL OR actual_close IS NULL")
+    first = still.groupBy("ticker").agg(F.min("based_on_date").alias("_first"))
+    until = F.coalesce(F.date_sub("_first", 1), "feature_last")
+    return series.join(first, "ticker", "left").withColumn("settled_until", until).drop("_first")
+
+
 def fill_latest_actuals(stored: DataFrame, features: DataFrame, prices: DataFrame) -> DataFrame:
     """Fill ``actual_close`` where NULL, on each ticker's latest feature date only."""
     latest = features.groupBy("ticker").agg(F.max("date").alias("predicted_date"))

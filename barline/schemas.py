@@ -63,15 +63,15 @@ SERIES_STATE = T.StructType(
         *_struct("older double, gap bigint, ema_12 double, ema_26 double, signal double").fields,
     ]
 )
-# One row per ticker, kept up to date by every load: the state, and what the gates and the
-# forecasts ask of its features.
+# One row per ticker, kept up to date by every load: the state, what the gates and the
+# forecasts ask of its features, and the day up to which all predictions have their actuals.
 SERIES = T.StructType(
     [
         T.StructField("ticker", T.StringType()),
         T.StructField("state", SERIES_STATE),
         *_struct(
             "feature_rows bigint, null_cells bigint, rsi_out_of_range bigint, negative_volatility bigint,"
-            " feature_last date, feature_close double"
+            " feature_last date, feature_close double, settled_until date"
         ).fields,
     ]
 )

@@ -12,7 +12,7 @@ from barline.operators import quality
 from barline.operators.indicators import stock_features
 from barline.operators.merge import upsert
 from barline.operators.validate import RunContext
-from barline.plans import jobs
+from barline.plans import jobs, maintenance
 from barline.session import scratch_folder
 from barline.sources import payload
 from barline.sources.tables import KeyedTable, stage
@@ -124,6 +124,46 @@ def test_train_predict_maintain(spark, store):
     assert repeat == {"A": 1, "B": 1}  # only the row whose actual is still unknown
 
 
+def test_maintenance_reads_what_is_open_only(spark, monkeypatch):
+    """The second run reads the last months; both find what the whole tables would give, also after a late bar."""
+    store = jobs.Store(scratch_folder(spark, "test-open"))
+    jobs.ingest_backfill(spark, store, docs(spark, 0, 115), RunContext("run-1"))
+    jobs.train(spark, store, F.lit("2024-06-20 06:00:00").cast("timestamp"))
+
+    def whole():
+        gaps = maintenance.prediction_gaps(store.features.read(spark), store.predictions.read(spark), store.prices.read(spark))
+        current = store.current_model(spark)
+        records = maintenance.prediction_records(gaps, current, current.drop("lo_close", "hi_close"))
+        return sorted(map(str, maintenance.maintenance_report(store.features.read(spark), current, records).collect()))
+
+    reads, read = [], KeyedTable.read
+
+    def noted(table, session, periods=None):
+        reads.append((table.path.rsplit("/", 1)[1], periods))
+        return read(table, session, periods)
+
+    def maintained():
+        want = whole()
+        reads.clear()
+        monkeypatch.setattr(KeyedTable, "read", noted)
+        got_ = sorted(map(str, jobs.maintain(spark, store).collect()))
+        monkeypatch.undo()
+        assert got_ == want
+        return {p for name, periods in reads if name in ("features", "prices") for p in periods}
+
+    assert len(maintained()) > 4
+    as_of = F.lit(str(DAYS[129])).cast("date")
+    jobs.ingest_daily(spark, store, docs(spark, 115, 130), as_of, RunContext("run-2"))
+    assert maintained() <= {"2024-06", "2024-07"}
+    settled = {r.ticker: r.settled_until for r in store.series.read(spark).collect()}
+    assert all(DAYS[126] < d < DAYS[129] for d in settled.values())
+    late = store.prices.read(spark).filter("ticker = 'A' AND date = DATE'2024-05-14'").withColumn("close", F.col("close") + 1)
+    jobs.store_prices(spark, store, stage(late, "late"), RunContext("run-3"))
+    settled = {r.ticker: r.settled_until for r in store.series.read(spark).collect()}
+    assert settled["A"] == dt.date(2024, 5, 13) and settled["B"] > DAYS[126]
+    maintained()
+
+
 def test_rebuild_features(spark, store):
     before = snapshot(store.features, spark, [])
     jobs.rebuild_features(spark, store, RunContext("run-3"))
