@@ -120,7 +120,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licenses_sql() -> str:
-    """Every block of 64 words, 32 apart, against every template; every place of every phrase."""
+    """Every 64 words in a row that begin with a token of a template, against it; every place of every phrase."""
     phrases, bags = [], []
     for t in license_scan.BASE + license_scan.MORE:
         words = t.text.split()
@@ -135,10 +135,13 @@ def _licenses_sql() -> str:
             regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         phrases(label, p) AS (VALUES {", ".join(phrases)}), bags(label, tokens, least) AS (VALUES {", ".join(bags)}),
         places AS (SELECT row, label, unnest(list_filter(range(0, len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS start FROM split, phrases),
-        blocks AS (SELECT row, list_distinct(w[b * 32 + 1:b * 32 + 64]) AS held FROM
-            (SELECT row, w, unnest(range(0, (len(w) + 31) // 32)) AS b FROM split)),
-        fits AS (SELECT row, label, len(list_intersect(held, tokens)) / len(tokens) AS score FROM blocks, bags
-            WHERE len(list_intersect(held, tokens)) >= least),
+        words AS (SELECT row, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM split),
+        met AS (SELECT row, i, token, label, len(tokens) AS size, least
+            FROM words JOIN (SELECT *, unnest(tokens) AS token FROM bags) USING (token)),
+        near AS (SELECT *, i // 64 AS part FROM met UNION ALL SELECT *, i // 64 - 1 FROM met),
+        fits AS (SELECT a.row, a.label, count(DISTINCT b.token) / any_value(a.size) AS score FROM met a
+            JOIN near b ON a.row = b.row AND a.label = b.label AND a.i // 64 = b.part AND b.i BETWEEN a.i AND a.i + 63
+            GROUP BY a.row, a.label, a.i HAVING count(DISTINCT b.token) >= any_value(a.least)),
         every AS (SELECT row, label, start, 1.0::DOUBLE AS score FROM places UNION ALL SELECT row, label, NULL, score FROM fits),
         told AS (SELECT row, count(start) AS n_base, min(start) AS first_word, max(start) AS last_word, max(score) AS score,
             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (start IS NOT NULL) AS base_labels,

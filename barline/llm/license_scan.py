@@ -4,14 +4,16 @@ Tokens are ordered by how often the whole corpus has them, rarest first. A block
 that holds enough of a template's tokens holds one of its rarest (prefix filter);
 it must be long enough (length filter); and after the first common token of the
 order only the tokens that follow can still be common (positional filter). What
-passes is counted exactly. Blocks are runs of words that overlap by half, so
-whatever stands within half a block stands in one whole.
+passes is counted exactly. Blocks are all runs of so many words, wherever they begin:
+around each prefix token a window slides from one of the template's tokens to the next.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -74,7 +76,8 @@ def license_scan(
 
     A word is a run of ASCII letters, digits and other characters beyond ASCII, A-Z
     lower-cased. For an exact template each place of its words is a match; for the
-    others each block in which at least ``threshold`` of its words occur; ``start``
+    others every ``block`` words in a row in which at least ``threshold`` of its words occur,
+    wherever they begin: of such that overlap in a run, the one with most; ``start``
     and ``end`` (exclusive) count words, and ``score`` is the share of the template's
     words that occur. ``block`` grows to twice the longest template if it is less.
     NULL and empty texts have no words and no match; NULL and repeated ids and
@@ -85,7 +88,8 @@ def license_scan(
     block = max([block, *(2 * len(words) for words in split)])
     counts = token_counts(docs, {w for words in split for w in words}, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    index = _prefix_index(templates, split, counts)
+    orders = _orders(templates, split, counts)
+    index = _prefix_index(orders)
 
     def scan(batches):
         for b in batches:
@@ -93,7 +97,7 @@ def license_scan(
             for text in text_bytes(b, "text"):
                 words = text.translate(LETTERS).split()
                 sizes.append(len(words))
-                found.append(_matches(words, templates, split, index, block))
+                found.append(_matches(words, templates, orders, index, block))
             kinds = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array(sizes, pa.int64()), pa.array(found, kinds)], ["doc_id", "n_words", "found"]
@@ -105,45 +109,92 @@ def license_scan(
     )
 
 
-def _prefix_index(templates: list[Template], split: list[list[bytes]], counts: dict[bytes, int]) -> dict:
-    """Token to (template, its place in the order, tokens, overlap to reach), for the tokens of each prefix."""
-    index: dict[bytes, list] = {}
-    for t, (template, words) in enumerate(zip(templates, split)):
+class Order(NamedTuple):
+    """A template's distinct tokens, rarest of the corpus first, by rank; how many to reach; and its words."""
+
+    rank: dict[bytes, int]
+    least: int
+    words: list[bytes]
+
+
+def _orders(templates: list[Template], split: list[list[bytes]], counts: dict[bytes, int]) -> list[Order]:
+    out = []
+    for template, words in zip(templates, split):
         tokens = sorted(set(words), key=lambda w: (counts.get(w, 0), w))
         least = math.ceil(template.threshold * len(tokens) - 1e-9)
-        for place, token in enumerate(tokens[: len(tokens) - least + 1]):
-            index.setdefault(token, []).append((t, place, tokens, least))
+        out.append(Order({w: i for i, w in enumerate(tokens)}, least, words))
+    return out
+
+
+def _prefix_index(orders: list[Order]) -> dict[bytes, list[int]]:
+    """Token to the templates in whose prefix it is: a window that reaches the overlap holds a token of the prefix."""
+    index: dict[bytes, list[int]] = {}
+    for t, order in enumerate(orders):
+        for token, rank in order.rank.items():
+            if rank <= len(order.rank) - order.least:
+                index.setdefault(token, []).append(t)
     return index
 
 
-def _matches(words: list[bytes], templates: list[Template], split: list[list[bytes]], index: dict, block: int) -> list[dict]:
-    places = [i for i, w in enumerate(words) if w in index]
-    if not places:
-        return []
-    step, found = block // 2, []
-    starts = sorted({s for i in places for s in ((i // step - 1) * step, i // step * step) if s >= 0})
-    for start in starts:
-        end = min(start + block, len(words))
-        held = set(words[start:end])
-        seen: set[int] = set()
-        for token in held & index.keys():
-            for t, _, tokens, least in index[token]:
-                if t in seen:
-                    continue
-                seen.add(t)
-                # The first token of the order that is common bounds what can follow.
-                first = next(p for p, w in enumerate(tokens) if w in held)
-                if len(held) < least or len(tokens) - first < least:
-                    continue
-                both = sum(w in held for w in tokens[first:])
-                if both < least:
-                    continue
-                label, score = templates[t].label, both / len(tokens)
-                if templates[t].exact:
-                    n = len(split[t])
-                    for i in range(start, min(start + step, end - n + 1)):  # the next block has what begins later
-                        if words[i] == split[t][0] and words[i : i + n] == split[t]:
-                            found.append({"label": label, "start": i, "end": i + n, "score": 1.0})
+def _matches(words: list[bytes], templates: list[Template], orders: list[Order], index: dict, block: int) -> list[dict]:
+    places: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        if w in index:
+            for t in index[w]:
+                places.setdefault(t, []).append(i)
+    found = []
+    for t, at in places.items():
+        hits = _exact(words, at, orders[t]) if templates[t].exact else _windows(words, at, orders[t], block)
+        found += [{"label": templates[t].label, "start": s, "end": e, "score": score} for s, e, score in hits]
+    return sorted(found, key=lambda f: (f["start"], f["end"], f["label"]))
+
+
+def _exact(words: list[bytes], at: list[int], order: Order) -> Iterator[tuple[int, int, float]]:
+    """Where all of the template's words stand in a row; its rarest word is at one of the places."""
+    n, starts = len(order.words), set()
+    for i in at:
+        starts.update(i - k for k, w in enumerate(order.words) if w == words[i])
+    for s in sorted(starts):
+        if s >= 0 and words[s : s + n] == order.words:
+            yield s, s + n, 1.0
+
+
+def _windows(words: list[bytes], at: list[int], order: Order, block: int) -> Iterator[tuple[int, int, float]]:
+    """The best window of each run of windows that reach the overlap and meet one another.
+
+    A window may as well begin at one of the template's tokens. Only those around a
+    prefix token are looked at, in stretches; a stretch whose tokens are too few
+    (length), or too late in the order (position), holds no match.
+    """
+    rank, least, size = order.rank, order.least, len(order.rank)
+    stretches: list[list[int]] = []
+    for i in at:
+        if stretches and i - block < stretches[-1][1]:
+            stretches[-1][1] = i + block
+        else:
+            stretches.append([max(0, i - block + 1), i + block])
+    best = None
+    for low, high in stretches:
+        met = [(i, rank[w]) for i, w in enumerate(words[low:high], low) if w in rank]
+        held = {r for _, r in met}
+        if len(held) < least or size - min(held) < least:
+            continue
+        times, last, distinct = [0] * size, 0, 0
+        for start, r in met:
+            while last < len(met) and met[last][0] < start + block:
+                times[met[last][1]] += 1
+                distinct += times[met[last][1]] == 1
+                last += 1
+            if distinct >= least:
+                if best is not None and start >= best[3]:
+                    yield best[:3]
+                    best = None
+                end, score = min(start + block, len(words)), distinct / size
+                if best is None or score > best[2]:
+                    best = (start, end, score, end)
                 else:
-                    found.append({"label": label, "start": start, "end": end, "score": score})
-    return found
+                    best = (*best[:3], end)
+            times[r] -= 1
+            distinct -= times[r] == 0
+    if best is not None:
+        yield best[:3]

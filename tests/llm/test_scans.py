@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -98,3 +99,36 @@ def test_licenses(spark, odd, none):
     assert got == {1: [("mit", 61, 65, 1.0), ("mit", 65, 69, 1.0)], 2: [("x", 0, 4, 0.75)], 3: [], 4: [("x", 0, 64, 0.75)]}
     assert license_scan.license_scan(odd, [template, phrase]).count() == odd.count()
     assert license_scan.license_scan(none, [template, phrase]).count() == 0
+
+
+def plain_windows(words, template, block=64):
+    """The best score of any window, over all starts, or None below the threshold."""
+    tokens = set(template.text.split())
+    scores = [len(tokens & set(words[s : s + block])) / len(tokens) for s in range(max(1, len(words)))]
+    return max(scores) if max(scores) >= template.threshold - 1e-9 else None
+
+
+def test_stretched_licenses_wherever_they_begin(spark):
+    """Two words between the words of a license: found at every offset; and random texts against all windows."""
+    mit = next(t for t in license_scan.MORE if t.label == "mit-text")
+    stretched = " ".join(f"{w} x{i} y{i}" for i, w in enumerate(mit.text.split()))
+    rows = [(n, " ".join(["pad"] * n) + " " + stretched + " the end") for n in range(64)]
+    rng = random.Random(8)
+    vocabulary = [w for t in license_scan.MORE[:4] for w in t.text.split()] + ["pad"] * 40
+    for n in range(64, 164):
+        rows.append((n, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([0, 30, 90, 700])))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.found for r in license_scan.license_scan(docs, license_scan.MORE).collect()}
+    hits = 0
+    for n, text in rows:
+        words = text.split()
+        for t in license_scan.MORE:
+            mine = [f for f in got[n] if f.label == t.label]
+            best = plain_windows(words, t)
+            assert (max((f.score for f in mine), default=None)) == best, (n, t.label)
+            for f in mine:
+                held = set(t.text.split())
+                assert len(held & set(words[f.start : f.end])) / len(held) == f.score and f.end - f.start <= 64
+            assert all(a.end <= b.start or a.start < b.start for a, b in zip(mine, mine[1:]))
+            hits += best is not None
+    assert all(any(f.label == "mit-text" for f in got[n]) for n in range(64)) and hits > 70
