@@ -85,7 +85,7 @@ def _derive_one(kind, arg) -> tuple[set[str] | None, Query]:
         if all(p is not None for p, _ in parts):
             return set().union(*(p for p, _ in parts)), ANY
         return None, [c for p, q in parts for c in (_of_strings(p) if p is not None else q)]
-    if kind is op.IN and all(k is op.LITERAL for k, _ in arg) and len(arg) <= 4:
+    if kind is op.IN and all(k is op.LITERAL for k, _ in arg) and len(arg) <= 16:
         return {chr(x).lower() for _, x in arg}, ANY
     if kind in (op.MAX_REPEAT, op.MIN_REPEAT):
         low, high, inner = arg
@@ -134,15 +134,16 @@ def scan(
     if searched:
         candidates = stage(_candidates(rows, {r.kind: asked[r.kind] for r in searched}, rows_per_block), "secret-candidates")
         some = join_few(rows, candidates, "key")
-        indexed = some.select("key", *[
+        # Rows that share a key by chance are told apart by their texts' digests.
+        indexed = some.select("key", F.sha2("text", 256).alias("sha"), *[
             F.when(F.array_contains("kinds", r.kind), _spans(r, rules.index(r))).otherwise(_none()).alias(r.kind) for r in searched
         ])
-        hits = indexed.select("key", F.flatten(F.array(*[F.col(r.kind) for r in searched])).alias("indexed"))
-        hits = hits.filter(F.size("indexed") > 0).dropDuplicates(["key"])
+        hits = indexed.select("key", "sha", F.flatten(F.array(*[F.col(r.kind) for r in searched])).alias("indexed"))
+        hits = hits.filter(F.size("indexed") > 0).dropDuplicates(["key", "sha"])
     scanned = [_spans(r, rules.index(r)) for r in rules if r not in searched]
-    found = rows.select("doc_id", "key", (F.flatten(F.array(*scanned)) if scanned else _none()).alias("scanned"))
+    found = rows.select("doc_id", "key", F.sha2("text", 256).alias("sha"), (F.flatten(F.array(*scanned)) if scanned else _none()).alias("scanned"))
     if searched:
-        found = found.join(hits, "key", "left")
+        found = found.join(hits, ["key", "sha"], "left")
     indexed = F.coalesce("indexed", _none()) if searched else _none()
     return found.select("doc_id", F.array_sort(F.concat("scanned", indexed)).alias("spans"))
 

@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from barline.llm import license_scan, secret_scan
 from barline.llm.catalog import queries
@@ -132,3 +133,18 @@ def test_stretched_licenses_wherever_they_begin(spark):
             assert all(a.end <= b.start or a.start < b.start for a, b in zip(mine, mine[1:]))
             hits += best is not None
     assert all(any(f.label == "mit-text" for f in got[n]) for n in range(64)) and hits > 70
+
+
+def test_github_tokens_are_indexed():
+    rule = next(r for r in secret_scan.MORE if r.kind == "github")
+    assert secret_scan.trigram_query(rule.pattern) == [frozenset({f"gh{c}", f"h{c}_"}) for c in "oprsu"]
+
+
+def test_secrets_when_all_row_keys_collide(spark, odd, monkeypatch):
+    rules = secret_scan.BASE + secret_scan.MORE
+    rows = [(1, "password = abcdefghijklm"), (2, "none"), (2, f"ghp_{'a1' * 18} AKIA{'B2' * 8}"), (None, "token: 0123456789abcdef")]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = sorted(map(str, secret_scan.scan(docs, rules).collect()))
+    monkeypatch.setattr(secret_scan, "row_key", lambda *c: F.lit(7).cast("long"))
+    assert sorted(map(str, secret_scan.scan(docs, rules).collect())) == want
+    assert sum("start" in r for r in want) == 3
