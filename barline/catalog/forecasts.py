@@ -192,14 +192,6 @@ def fit_linear_forecaster(spark, folder):
     return rounded(model, {"slope": 6, "intercept": 6})
 
 
-@query("fit_ridge_forecaster")
-def fit_ridge_forecaster(spark, folder):
-    model = forecast.fit_ridge(stored_features(spark, folder))
-    return model.select(
-        "ticker", "train_rows", F.transform("weights", lambda w: F.round(w, 6)).alias("weights")
-    )
-
-
 _TERMS = forecast.ridge_terms()
 _EQUATIONS = [f"{a}_{b}" for i, a in enumerate(_TERMS) for b in [*_TERMS[i:], "t"]]
 _RIDGE = {
@@ -240,6 +232,41 @@ def ridge_residual(spark, folder):
     return rounded(forecast.ridge_residual(sums, forecast.solve_ridge(sums)), {"residual": 6})
 
 
+def _equation(i: int, term: str) -> str:
+    """One row of the normal equations, its right side last."""
+    sums = [f"sum({term} * {b})" + (f" + {forecast.RIDGE_PENALTY}" if term == b != "one" else "") for b in _TERMS]
+    return f"[{', '.join([*sums, f'sum({term} * t)'])}]"
+
+
+# Gauss-Jordan elimination, a step per input: the pivot row is divided, and taken from every other row.
+_ELIMINATED = {
+    **_RIDGE,
+    "systems": f"SELECT ticker, count(*) AS train_rows, [{', '.join(_equation(i, t) for i, t in enumerate(_TERMS))}] AS m"
+    " FROM design GROUP BY ticker",
+    "steps": f"""SELECT ticker, train_rows, 0 AS k, m, list_transform(m[1], lambda v: v / m[1][1]) AS head FROM systems
+        UNION ALL
+        SELECT ticker, train_rows, k + 1, n, list_transform(n[k + 2], lambda v: v / n[k + 2][k + 2])
+        FROM (SELECT ticker, train_rows, k, list_transform(m, lambda r, i: CASE WHEN i = k + 1 THEN head
+                ELSE list_transform(r, lambda v, j: v - r[k + 1] * head[j]) END) AS n FROM steps WHERE k < {len(_TERMS)})""",
+}
+
+
+@query(
+    "fit_ridge_forecaster",
+    sql(
+        "SELECT ticker, train_rows, "
+        + ", ".join(f"{rnd(f'm[{i + 1}][{len(_TERMS) + 1}]', 4)} AS w{i}" for i in range(len(_TERMS)))
+        + f" FROM steps WHERE k = {len(_TERMS)}",
+        "features", extra=_ELIMINATED,
+    ),
+)
+def fit_ridge_forecaster(spark, folder):
+    """The weights of all features, the intercept's last."""
+    model = forecast.fit_ridge(stored_features(spark, folder))
+    weights = {f"w{i}": F.element_at("weights", i + 1) for i in range(len(_TERMS))}
+    return rounded(model.withColumns(weights).drop("weights"), dict.fromkeys(weights, 4))
+
+
 def _determinant(rows: list[list[str]]) -> str:
     (a, b, c), (d, e, f), (g, h, i) = rows
     return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
