@@ -152,7 +152,7 @@ def summary_of(rows: Column) -> Column:
             n.alias("n"), (acc["nulls"] + lacking).alias("nulls"), F.coalesce(acc["first"], F.when(known, n)).alias("first"),
             F.coalesce(acc["value"], x).alias("value"), F.when(known, n).otherwise(acc["last"]).alias("last"),
             *averages, *signal(acc),
-        ).cast(_SCAN)
+        )
 
     def done(acc: Column) -> Column:
         counts = [acc[c].alias(c) for c in ("n", "nulls", "first", "value", "last", *_SUMS[:4])]
