@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from barline.operators import forecast, sequences
 from barline.operators.indicators import stock_features
+from barline.operators.series import segment
 from barline.plans import dashboard, maintenance
 from barline.schemas import FEATURE_COLUMNS
 from tests.test_indicators import frame, series, walk
@@ -59,6 +60,40 @@ def test_windows(spark, features, block_days):
     np.testing.assert_allclose(x, np.stack([want[i - 29 : i + 1] for i in range(29, len(want))]), atol=1e-12)
 
 
+@pytest.mark.parametrize("block_days", [2048, 60])
+def test_scaled_on_the_way(spark, features, block_days):
+    """Windows of unscaled features are those of the scaled ones, and no join or shuffle is added for it."""
+    scaled = sequences.minmax_scale(features)
+    for windows in (sequences.training_sequences, sequences.prediction_windows):
+        want = windows(scaled, block_days=block_days)
+        made = windows(features, scale=True, block_days=block_days)
+        assert made.count() == want.count() > 0
+        assert made.exceptAll(want).isEmpty()
+    joins = [df._jdf.queryExecution().analyzed().toString().count("Join Inner") for df in (segment(features, 5).df, made, want)]
+    assert joins[0] == joins[1] < joins[2]
+
+
+@pytest.mark.parametrize("block_days", [2048, 60])
+def test_window_sums(spark, features, block_days):
+    """What the whole windows give, each value weighted by step times column."""
+    for windows, sums in (
+        (sequences.training_sequences, sequences.training_window_sums),
+        (sequences.prediction_windows, sequences.prediction_window_sums),
+    ):
+        whole = windows(features, scale=True, block_days=block_days).toPandas().sort_values(["ticker", "date"])
+        x = np.array([np.stack(w) for w in whole["x"]])
+        got = sums(features, scale=True, block_days=block_days).toPandas().sort_values(["ticker", "date"])
+        assert list(got["date"]) == list(whole["date"]) and set(got["steps"]) == {30}
+        np.testing.assert_allclose(got["total"], np.einsum("nkc,k,c->n", x, np.arange(1, 31), np.arange(1, 18)), atol=1e-8)
+
+
+def test_window_sum_of_an_unknown_value(spark):
+    rows = [("A", dt.date(2000, 1, i), None if i == 2 else 1.0) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "ticker string, date date, close double")
+    got = {r["date"].day: r["total"] for r in sequences.prediction_window_sums(df, 2, ["close"]).collect()}
+    assert got == {2: None, 3: None, 4: 3.0, 5: 3.0}
+
+
 @pytest.mark.parametrize("block_days", [2048, 60])
 def test_chronological_split(features, block_days):
     split = sequences.chronological_split(features.select("ticker", "date"), block_days=block_days)
