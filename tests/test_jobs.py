@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import re
 
 import pytest
@@ -17,7 +18,7 @@ from barline.session import scratch_folder
 from barline.sources import payload
 from barline.sources.tables import KeyedTable, stage
 from barline.streaming.features import stream_features
-from barline.streaming.ingest import ingest_stream, read_documents
+from barline.streaming.ingest import gather_stream, ingest_stream, read_documents, read_payload_files
 from tests.test_indicators import assert_same, frame, got, series, walk
 
 
@@ -244,6 +245,22 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark):
     assert_same(got(store.features.read(spark)), got(whole.features.read(spark)))
 
 
+def test_files_are_gathered_in_many_batches_and_loaded_in_one(spark, tmp_path):
+    store, whole = jobs.Store(f"{tmp_path}/store", grain="yyyy"), jobs.Store(f"{tmp_path}/whole", grain="yyyy")
+    data = [(f"T{i}", document([(d, 50.0 + i) for d in DAYS[:30]])) for i in range(7)]
+    (tmp_path / "files").mkdir()
+    for step in (data[:5], data[5:]):
+        for ticker, doc in step:
+            (tmp_path / "files" / f"{ticker}.json").write_text(doc)
+        gather_stream(read_payload_files(spark, f"{tmp_path}/files", 2), f"{tmp_path}/docs", f"{tmp_path}/c1").awaitTermination()
+        load = ingest_stream(read_documents(spark, f"{tmp_path}/docs"), store, f"{tmp_path}/c2")
+        load.awaitTermination()
+    assert len(os.listdir(f"{tmp_path}/c1/commits")) >= 2 * 4 and load.lastProgress["batchId"] == 1  # with a .crc each
+    jobs.ingest_backfill(spark, whole, spark.createDataFrame(data, "ticker string, doc string"), RunContext("r"))
+    assert snapshot(store.prices, spark, ["created_at", "updated_at"]) == snapshot(whole.prices, spark, ["created_at", "updated_at"])
+    assert store.prices.read(spark).count() == 7 * 30
+
+
 def test_stream_refuses_what_the_batch_refuses(spark):
     base = scratch_folder(spark, "test-stream-gate")
     good = document([(d, 50.0) for d in DAYS[:10]])

@@ -122,6 +122,28 @@ def test_interrupted_replacement_is_finished_by_the_next_merge(spark):
     assert {r["ticker"]: r["predicted_close"] for r in table.read(spark).collect()} == {"A": 1.0, "B": 3.0}
 
 
+def test_replacement_moves_the_merged_files(spark, tmp_path):
+    table = KeyedTable(f"{tmp_path}/t", schemas.PREDICTIONS, schemas.KEYS["predictions"], "predicted_date")
+    ddl = "ticker string, predicted_date date, predicted_close double"
+    source = spark.createDataFrame([("A", dt.date(2024, 1, 5), 1.0), ("A", dt.date(2024, 2, 5), 2.0)], ddl)
+    # The first merge has nothing to join with.
+    first = upsert(table.read(spark), source, table.keys)
+    assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString()
+    table._write(schemas.conform(first, schemas.PREDICTIONS), table._pending)
+    names = lambda folder: sorted(p.name for p in (tmp_path / folder).glob("period=*/*.parquet"))
+    written = names("t__pending")
+    table.recover(spark)
+    assert names("t") == written and not (tmp_path / "t__pending").exists()
+    # One period moved, then the driver died.
+    table._write(schemas.conform(source.withColumn("predicted_close", F.lit(9.0)), schemas.PREDICTIONS), table._pending)
+    (tmp_path / "t/gone").mkdir()
+    (tmp_path / "t/period=2024-01").rename(tmp_path / "t/gone/old")
+    (tmp_path / "t__pending/period=2024-01").rename(tmp_path / "t/period=2024-01")
+    (tmp_path / "t/gone").rename(tmp_path / "gone")
+    table.recover(spark)
+    assert {r["predicted_close"] for r in table.read(spark).collect()} == {9.0} and table.read(spark).count() == 2
+
+
 def test_table_without_newer_columns_reads(spark):
     path = f'{scratch_folder(spark, "test-old")}/t'
     old = spark.createDataFrame([("A", dt.date(2024, 1, 5), 1.0)], "ticker string, date date, close double")
