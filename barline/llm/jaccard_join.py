@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from heapq import heappop, heappush
 
 import numpy as np
@@ -228,11 +229,12 @@ def _search(members: DataFrame, clusters: DataFrame, percent: int, block: int) -
         for b in batches:
             links = []
             keys = zip(*(b.column(c).to_pylist() for c in ("root", "low", "high")))
-            for key, node, own, packed in zip(keys, *(b.column(c).to_pylist() for c in ("node", "own", "shingles"))):
+            # The shingles stay in the batch, as buffers: a copy of each would double it.
+            for key, node, own, packed in zip(keys, *(b.column(c).to_pylist() for c in ("node", "own")), b.column("shingles")):
                 if key != at:
                     links.extend(_linked(at, *held, percent))
                     at, held = key, ([], [], [])
-                held[0].append(node), held[1].append(own), held[2].append(np.frombuffer(packed, np.uint64))
+                held[0].append(node), held[1].append(own), held[2].append(np.frombuffer(packed.as_buffer(), np.uint64))
             if links:
                 yield _link_batch(links)
         if links := _linked(at, *held, percent):
@@ -269,7 +271,7 @@ def t_occurrence(sets: list[np.ndarray], percent: int, side: np.ndarray | None =
     sizes = np.array([len(sets[i]) for i in order])
     shingles, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
     holder = np.repeat(np.arange(len(order)), sizes)
-    entries = holder[np.argsort(ids, kind="stable")].tolist()  # of list after list, each in order of size
+    entries = array("i", holder[np.argsort(ids, kind="stable")].astype(np.intc).tobytes())  # of list after list, each in order of size
     lengths = np.bincount(ids, minlength=len(shingles))
     starts = np.concatenate([[0], np.cumsum(lengths)])
     offsets = np.concatenate([[0], np.cumsum(sizes)])
@@ -306,7 +308,7 @@ def t_occurrence(sets: list[np.ndarray], percent: int, side: np.ndarray | None =
 class ListMerge:
     """Sorted lists, stretches of ``entries``, merged on a heap from ``low`` up to ``end`` (exclusive)."""
 
-    def __init__(self, entries: list[int], stretches: Iterable[tuple[int, int]], low: int, end: int) -> None:
+    def __init__(self, entries: Sequence[int], stretches: Iterable[tuple[int, int]], low: int, end: int) -> None:
         self.entries, self.heap = entries, []  # heap: (entry, its place, where its list ends)
         for first, last in stretches:
             self._enter(low, first, bisect_left(entries, end, first, last))
