@@ -235,3 +235,12 @@ def test_windows_that_share_a_predicted_date_are_settled_by_the_latest(spark):
     assert (monday.based_on_date, monday.close, monday.action) == (days[-1], 41.0, "recent")
     windows = spark.createDataFrame([("A", d, dt.date(2024, 2, 12)) for d in days[-3:]], "ticker string, based_on_date date, predicted_date date")
     assert [r.based_on_date for r in maintenance.missing_predictions(windows, stored).collect()] == [days[-1]]
+
+
+def test_line_queries_store_only_what_they_read(spark, sf, monkeypatch):
+    from barline.catalog import features as catalog_features, forecasts
+
+    kept, staged = [], catalog_features.stage
+    monkeypatch.setattr(catalog_features, "stage", lambda df, name: kept.append(df.columns) or staged(df, name))
+    forecasts.prediction_records(spark, sf), forecasts.maintenance_report(spark, sf), forecasts.holdout_metrics(spark, sf)
+    assert kept == [["ticker", "date", "close"]] * 3
