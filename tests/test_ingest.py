@@ -193,6 +193,25 @@ def test_daily_gates_in_order(daily):
     assert not [k for k in s if k[0] == "ERROR"]
 
 
+def test_key_checks_validate_no_row(spark, daily):
+    """The checks of the date keys are those of the whole load, from a plan that looks into no row."""
+    good, week = row(), [f"2024-01-{d:02d}" for d in (8, 9, 10, 11, 12)]
+    docs = {
+        "FULL": doc({k: good for k in week}), "STALE": doc({"2023-12-01": good}), "NONE": doc({"x": good}),
+        "KEYS": doc({**{k: row(v="-1") for k in week}, "x": good}), "ERROR": '{"Note":"limit"}',
+    }
+    frame = spark.createDataFrame([*docs.items(), ("FULL", docs["KEYS"]), (None, docs["FULL"])], "ticker string, doc string")
+    stored = spark.createDataFrame([("FULL", None)], "ticker string, date timestamp")
+    as_of = F.lit("2024-01-20").cast("date")
+    found = ingest.key_checks(frame, as_of)
+    names = [r[0] for r in found.select("check_name").distinct().collect()]
+    assert sorted(names) == ["api_date_key_format", "api_freshness", "api_payload_valid"]
+    whole = ingest.daily(frame, stored, as_of).quality.filter(F.col("check_name").isin(names))
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "1. open" in plan(whole) and "1. open" not in plan(found)
+
+
 def test_daily_rows(daily):
     raw = {r["ticker"]: r["count"] for r in daily.raw.groupBy("ticker").count().collect()}
     assert raw == {"FULL": 5, "REJECTED": 5, "MANY": 5, "KEYS": 5}
