@@ -143,6 +143,28 @@ def test_ridge_equals_the_normal_equations(features):
     assert model["A"]["train_rows"] == n
 
 
+@pytest.mark.parametrize("block_days", [8192, 60, 7])
+def test_window_ridge_takes_all_rows_of_the_window(features, block_days):
+    """The normal equations of the flattened windows, also where windows and the split lie across blocks."""
+    model = {r["ticker"]: r for r in forecast.fit_window_ridge(features, penalty=0.01, block_days=block_days).collect()}
+    assert set(model) == {"A", "B"}  # C has 36 rows, 40 are needed
+    for ticker in model:
+        _, scaled, _, _ = matrix(features, ticker)
+        n = int((len(scaled) - 30) * 0.85)
+        x = np.array([np.append(scaled[j : j + 30].ravel(), 1.0) for j in range(n)])
+        y = scaled[30:, 0][:n]
+        penalty = 0.01 * np.eye(511)
+        penalty[-1, -1] = 0
+        np.testing.assert_allclose(model[ticker]["weights"], np.linalg.solve(x.T @ x + penalty, x.T @ y), rtol=1e-6, atol=1e-6)
+        assert model[ticker]["train_rows"] == n
+
+
+def test_ridge_query_tells_every_weight_of_the_window(spark, sf):
+    from barline.catalog import forecasts
+
+    assert forecasts.fit_ridge_forecaster(spark, sf).columns == ["ticker", "train_rows", *(f"w{i}" for i in range(30 * 17 + 1))]
+
+
 def test_ridge_of_an_older_shorter_feature_list_predicts(features):
     columns = FEATURE_COLUMNS[:5]
     model = forecast.fit_ridge(features, columns=columns)
