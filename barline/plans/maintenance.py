@@ -103,7 +103,10 @@ def prediction_records(gaps: DataFrame, scaler: DataFrame, model: DataFrame) ->
 
 
 def maintenance_metrics(records: DataFrame) -> DataFrame:
-    """Counts and errors of the touched rows; errors are NULL without an actual."""
+    """Counts and errors of the touched rows; errors are NULL without an actual.
+
+    Errors are told to nine digits: what is beyond depends on the order in which rows are added up.
+    """
     error = F.col("predicted_close") - F.col("actual_close")
     return records.groupBy("ticker").agg(
         F.count(F.lit(1)).alias("records"),
@@ -111,8 +114,8 @@ def maintenance_metrics(records: DataFrame) -> DataFrame:
         F.count_if(F.col("action") == "gap").alias("gap_rows"),
         F.count_if(F.col("action") == "actual").alias("actual_updates"),
         F.count("actual_close").alias("comparable"),
-        F.avg(F.abs(error)).alias("mae_price"),
-        F.sqrt(F.avg(error * error)).alias("rmse_price"),
+        F.round(F.avg(F.abs(error)), 9).alias("mae_price"),
+        F.round(F.sqrt(F.avg(error * error)), 9).alias("rmse_price"),
     )
 
 
