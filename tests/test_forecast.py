@@ -41,6 +41,20 @@ def test_scale_and_back(spark, features):
     assert sequences.scaler_table(scaler).count() == 3 * 17
 
 
+def test_scaled_by_bounds_of_the_blocks(spark, features):
+    """Without a scaler nothing joins the features but their own blocks: no row of a scaler, no second shuffle of features."""
+    rows = frame(spark, series("A", walk(60, 4), step=20)).withColumn("low", F.when(F.col("volume") % 2 == 0, F.col("close")))
+    undated = rows.filter("date < '1990-02-01'").withColumn("date", F.lit(None).cast("date"))
+    rows = rows.unionByName(rows.filter("date < '1990-03-01'")).unionByName(undated)
+    columns = ["close", "low"]
+    by_join = sequences.minmax_scale(rows, sequences.fit_scaler(rows, columns), columns)
+    in_blocks = sequences.minmax_scale(rows, columns=columns)
+    assert in_blocks.columns == by_join.columns and in_blocks.count() == by_join.count() == rows.count()
+    assert in_blocks.exceptAll(by_join).isEmpty()
+    plan = sequences.minmax_scale(features)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lo_close" not in plan
+
+
 def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([("A", 1, 5.0), ("A", 2, 5.0)], "ticker string, date int, close double")
     assert {r["close"] for r in sequences.minmax_scale(df, columns=["close"]).collect()} == {0.0}
