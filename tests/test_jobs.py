@@ -165,6 +165,20 @@ def test_maintenance_reads_what_is_open_only(spark, monkeypatch):
     maintained()
 
 
+def test_a_load_leaves_no_staged_copy(spark):
+    """What a load writes aside is deleted when it is merged; only the store stays, also after late bars."""
+    base = scratch_folder(spark, "test-leftovers")
+    before = set(os.listdir(os.path.dirname(base)))
+    store = jobs.Store(f"{base}/store", grain="yyyy")
+    for k, part in enumerate(((0, 60), (50, 80))):
+        jobs.ingest_backfill(spark, store, docs(spark, *part), RunContext(f"run-{k}"))
+    as_of = F.lit(str(DAYS[99])).cast("date")
+    jobs.ingest_daily(spark, store, docs(spark, 70, 100), as_of, RunContext("run-2"))
+    left = [f for f in set(os.listdir(os.path.dirname(base))) - before if os.listdir(f"{os.path.dirname(base)}/{f}")]
+    assert left == []
+    assert_same(got(store.features.read(spark)), got(stock_features(store.prices.read(spark))))
+
+
 def test_rebuild_features(spark, store):
     before = snapshot(store.features, spark, [])
     jobs.rebuild_features(spark, store, RunContext("run-3"))
